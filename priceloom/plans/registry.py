@@ -11,6 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from priceloom.operators import elasticity as el
+from priceloom.operators import optimizer as op
+from priceloom.operators import recommend as rc
 from priceloom.operators import reports_sql as q
 from priceloom.plans.tables import RetailTables
 
@@ -44,6 +47,34 @@ SQL_REPORTS: dict[str, Query] = {
     "pareto_product_revenue_distribution": lambda t: q.pareto_product_revenue_distribution(t.sales, t.products),
 }
 
+def _fits(t: RetailTables) -> DataFrame:
+    return el.product_elasticity(t.pricing_history, t.products)
+
+
+def _opt(t: RetailTables) -> DataFrame:
+    return op.optimal_prices(_fits(t), t.sales)
+
+
+def _recs(t: RetailTables) -> DataFrame:
+    fits = _fits(t)
+    return rc.recommendations(op.optimal_prices(fits, t.sales), t.products, fits, t.sales)
+
+
+MODEL: dict[str, Query] = {
+    "product_elasticity": _fits,
+    "category_elasticity": lambda t: el.category_elasticity(t.pricing_history, t.products),
+    "elasticity_fit_summary": lambda t: el.fit_summary(_fits(t)),
+    "elasticity_ci_widths": lambda t: el.ci_widths(_fits(t)),
+    "price_curve": lambda t: op.price_curve(_fits(t), t.sales),
+    "optimal_prices": _opt,
+    "optimization_summary": lambda t: op.optimization_summary(_opt(t)),
+    "top_profit_opportunities": lambda t: op.top_profit_opportunities(_opt(t)),
+    "simulate_scenarios": lambda t: op.simulate_scenarios(op.uplift_scenarios(_fits(t)), _fits(t), t.sales),
+    "recommendations": _recs,
+    "action_counts": lambda t: rc.action_counts(_recs(t)),
+    "impact_totals": lambda t: rc.impact_totals(_recs(t)),
+}
+
 CLEAN_TABLES: dict[str, Query] = {
     "clean_customers": lambda t: t.customers,
     "clean_products": lambda t: t.products,
@@ -56,6 +87,7 @@ def catalogue() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(CLEAN_TABLES)
     out.update(SQL_REPORTS)
+    out.update(MODEL)
     return out
 
 
