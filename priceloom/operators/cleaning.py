@@ -171,18 +171,32 @@ SALES_COLUMNS = [
 ]
 
 
-def clean_sales(raw: DataFrame, products: DataFrame, keep_copies: bool = False) -> DataFrame:
-    """Dedup -> parse dates -> drop glitches -> impute -> cost lookup ->
-    identities -> calendar parts.
-
-    ``products`` must be the cleaned catalogue.  The cost lookup is a left
-    join on product_id: products are pre-projected to two columns, and the
-    planner broadcasts them when their measured size allows (AQE), falling
-    back to a shuffled join for a very large catalogue.
-    """
-    df = keep_first(raw, ["transaction_id"], with_copies=keep_copies)
-    df = df.withColumn("date", parse_mixed_date(F.col("date"))).filter(F.col("date").isNotNull())
-    df = df.filter(~invalid_sales_mask(df))
+def stage_sales(raw: DataFrame) -> DataFrame:
+    """Dedup (with the copy count) and date parsing, plus row flags:
+    ``_date_ok``, ``_invalid`` (glitch row) and ``_valid`` (row survives)."""
+    df = keep_first(raw, ["transaction_id"], with_copies=True)
+    df = df.withColumn("date", parse_mixed_date(F.col("date")))
+    date_ok = F.col("date").isNotNull()
+    return df.withColumns({"_date_ok": date_ok, "_invalid": invalid_sales_mask(df)}) \
+             .withColumn("_valid", F.col("_date_ok") & ~F.col("_invalid"))
+
+
+def sales_stage_metrics() -> dict[str, Column]:
+    """Audit counts over ``stage_sales`` output (aggregate expressions)."""
+    valid = F.col("_valid")
+    return {
+        "initial_rows": F.sum(COPIES),
+        "duplicates_removed": F.sum(COPIES) - F.count(F.lit(1)),
+        "unparseable_dates_removed": F.count_if(~F.col("_date_ok")),
+        "invalid_records_removed": F.count_if(F.col("_date_ok") & F.col("_invalid")),
+        "missing_customer_ids_imputed": F.count_if(valid & F.col("customer_id").isNull()),
+        "missing_discounts_imputed": F.count_if(valid & coerce_numeric("discount").isNull()),
+        "final_rows": F.count_if(valid),
+    }
+
+
+def finish_sales(staged: DataFrame, products: DataFrame) -> DataFrame:
+    df = staged.filter(F.col("_valid"))
     df = df.withColumns({
         "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),
         "discount": clip(F.coalesce(coerce_numeric("discount"), F.lit(0.0)), lower=0.0, upper=0.5),
@@ -191,8 +205,24 @@ def clean_sales(raw: DataFrame, products: DataFrame, keep_copies: bool = False)
     df = df.join(cost, "product_id", "left")
     df = accounting_identities(df)
     df = date_parts(df)
-    cols = SALES_COLUMNS + ([COPIES] if keep_copies else [])
-    return df.select(*[c for c in cols if c in df.columns])
+    return df.select(*[c for c in SALES_COLUMNS if c in df.columns])
+
+
+def clean_sales(raw: DataFrame, products: DataFrame, observation=None) -> DataFrame:
+    """Dedup -> parse dates -> drop glitches -> impute -> cost lookup ->
+    identities -> calendar parts.
+
+    ``products`` must be the cleaned catalogue.  The cost lookup is a left
+    join on product_id: products are pre-projected to two columns, and the
+    planner broadcasts them when their measured size allows (AQE), falling
+    back to a shuffled join for a very large catalogue.  An optional
+    ``pyspark.sql.Observation`` collects the audit counts as a side effect
+    of whatever action runs the plan (no extra pass).
+    """
+    staged = stage_sales(raw)
+    if observation is not None:
+        staged = staged.observe(observation, *[v.alias(k) for k, v in sales_stage_metrics().items()])
+    return finish_sales(staged, products)
 
 
 def clean_pricing_history(raw: DataFrame) -> DataFrame:

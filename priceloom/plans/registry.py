@@ -11,7 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from priceloom.operators import dashboard as db
 from priceloom.operators import elasticity as el
+from priceloom.operators import quality as ql
+from priceloom.operators import reports as rp
 from priceloom.operators import optimizer as op
 from priceloom.operators import recommend as rc
 from priceloom.operators import reports_sql as q
@@ -69,12 +72,64 @@ MODEL: dict[str, Query] = {
     "optimal_prices": _opt,
     "optimization_summary": lambda t: op.optimization_summary(_opt(t)),
     "top_profit_opportunities": lambda t: op.top_profit_opportunities(_opt(t)),
-    "simulate_scenarios": lambda t: op.simulate_scenarios(op.uplift_scenarios(_fits(t)), _fits(t), t.sales),
+    "simulate_scenarios": lambda t: _uplift(t),
     "recommendations": _recs,
     "action_counts": lambda t: rc.action_counts(_recs(t)),
     "impact_totals": lambda t: rc.impact_totals(_recs(t)),
 }
 
+# The test data spans 1995-2001; the two latest complete years stand in for
+# the application's 2024 / 2025 comparison.
+KPI_YEARS = (1999, 2000)
+SLICE = {"start": "1996-01-01", "end": "2000-12-31"}
+LOOKUP_NAME = "blue bolt"
+
+
+def _slice(t: RetailTables) -> DataFrame:
+    return db.filter_sales(t.sales, t.products, t.customers, **SLICE)
+
+
+def _uplift(t: RetailTables) -> DataFrame:
+    fits = _fits(t)
+    return op.simulate_scenarios(op.uplift_scenarios(fits), fits, t.sales)
+
+
+DATAFRAME_REPORTS: dict[str, Query] = {
+    "executive_kpis": lambda t: rp.executive_kpis(t.sales, *KPI_YEARS),
+    "monthly_trends": lambda t: rp.monthly_trends(t.sales),
+    "category_summary": lambda t: rp.category_summary(t.sales, t.products),
+    "category_summary_filtered": lambda t: rp.category_summary(_slice(t), t.products),
+    "regional_breakdown": lambda t: rp.regional_breakdown(t.sales),
+    "customer_segment_analysis": lambda t: rp.customer_segment_analysis(t.sales, t.customers),
+    "customer_segment_analysis_filtered": lambda t: rp.customer_segment_analysis(_slice(t), t.customers),
+    "product_performance": lambda t: rp.product_performance(t.sales, t.products),
+    "discount_impact": lambda t: rp.discount_impact(t.sales),
+}
+
+DASHBOARD: dict[str, Query] = {
+    "filter_sales": _slice,
+    "filter_bounds": lambda t: db.filter_bounds(t.sales, t.products, t.customers),
+    "seasonality_pivot": lambda t: db.seasonality_pivot(t.sales, t.products),
+    "weekday_ordered": lambda t: db.weekday_ordered(t.sales),
+    "inventory_turn_all_products": lambda t: db.inventory_turn_all_products(t.sales, t.products),
+    "opportunity_matrix": lambda t: db.opportunity_matrix(t.sales, t.products, _recs(t)),
+    "top_n_products": lambda t: db.top_n_products(rp.product_performance(t.sales, t.products)),
+    "spread_sorted": lambda t: db.spread_sorted(rp.product_performance(t.sales, t.products)),
+    "gap_sorted": lambda t: db.gap_sorted(db.opportunity_matrix(t.sales, t.products, _recs(t))),
+    "filter_recommendations": lambda t: db.filter_recommendations(_recs(t), ["Increase Price"], ["High"]),
+    "product_lookup": lambda t: db.product_lookup(t.products, LOOKUP_NAME),
+    "scenario_bounds": lambda t: db.scenario_bounds(t.products),
+    "scenario_comparison": lambda t: db.scenario_comparison(_uplift(t)),
+}
+
+QUALITY: dict[str, Query] = {
+    "cleaning_audit": lambda t: ql.cleaning_audit(t.raw.customers, t.raw.products, t.raw.sales,
+                                                  t.raw_history, t),
+    "raw_audit": lambda t: ql.raw_audit(t.raw.sales),
+    "validate_clean": lambda t: ql.validate_clean(t.sales, t.products),
+    "table_nonempty": lambda t: ql.table_nonempty(t),
+}
+
 CLEAN_TABLES: dict[str, Query] = {
     "clean_customers": lambda t: t.customers,
     "clean_products": lambda t: t.products,
@@ -88,6 +143,9 @@ def catalogue() -> dict[str, Query]:
     out.update(CLEAN_TABLES)
     out.update(SQL_REPORTS)
     out.update(MODEL)
+    out.update(DATAFRAME_REPORTS)
+    out.update(DASHBOARD)
+    out.update(QUALITY)
     return out
 
 

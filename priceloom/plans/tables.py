@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +16,8 @@ class RetailTables:
     products: DataFrame
     sales: DataFrame
     pricing_history: DataFrame
+    raw: testdata.RawTables | None = field(default=None, repr=False)
+    raw_history: DataFrame | None = field(default=None, repr=False)
 
     def register(self, prefix: str = "") -> "RetailTables":
         """Expose the tables as temp views for free SQL (``spark.sql``)."""
@@ -28,8 +30,9 @@ def clean_all(raw: testdata.RawTables) -> RetailTables:
     customers = cleaning.clean_customers(raw.customers)
     products = cleaning.clean_products(raw.products)
     sales = cleaning.clean_sales(raw.sales, products)
-    history = cleaning.clean_pricing_history(testdata.raw_pricing_history(sales, products))
-    return RetailTables(customers, products, sales, history)
+    raw_history = testdata.raw_pricing_history(sales, products)
+    history = cleaning.clean_pricing_history(raw_history)
+    return RetailTables(customers, products, sales, history, raw, raw_history)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str) -> RetailTables:
