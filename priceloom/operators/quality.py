@@ -39,14 +39,18 @@ def products_audit(raw: DataFrame, clean: DataFrame) -> DataFrame:
     return _long("products", g, ["initial_rows", "final_rows", "categories_standardized", "avg_base_margin_pct"])
 
 
-def sales_audit(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    m = cleaning.sales_stage_metrics()
-    staged = cleaning.stage_sales(raw).agg(*[v.alias(k) for k, v in m.items()])
+def sales_totals(clean: DataFrame) -> DataFrame:
+    """Revenue, profit and margin of the cleaned sales, as audit rows."""
     totals = clean.agg(money_sum("revenue").alias("rev"), money_sum("profit").alias("prof"))
     t = totals.select(F.col("rev").alias("total_clean_revenue"), F.col("prof").alias("total_clean_profit"),
                       r(safe_div("prof", "rev") * F.lit(100.0)).alias("overall_profit_margin_pct"))
-    return _long("sales", staged, list(m)).unionByName(
-        _long("sales", t, ["total_clean_revenue", "total_clean_profit", "overall_profit_margin_pct"]))
+    return _long("sales", t, ["total_clean_revenue", "total_clean_profit", "overall_profit_margin_pct"])
+
+
+def sales_audit(raw: DataFrame, clean: DataFrame) -> DataFrame:
+    m = cleaning.sales_stage_metrics()
+    staged = cleaning.stage_sales(raw).agg(*[v.alias(k) for k, v in m.items()])
+    return _long("sales", staged, list(m)).unionByName(sales_totals(clean))
 
 
 def history_audit(raw: DataFrame, clean: DataFrame) -> DataFrame:
