@@ -29,6 +29,10 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
     base = out_dir.rstrip("/")
 
     def write(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
+        if partition:
+            # Contiguous key ranges per task: each task writes one or two
+            # month folders instead of every month (bounded file count).
+            df = df.repartitionByRange(partition, "date", "transaction_id")
         w = df.write.mode("overwrite")
         if partition:
             w = w.partitionBy(partition)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from priceloom.operators import dashboard as db
 from priceloom.operators import elasticity as el
@@ -50,30 +51,31 @@ SQL_REPORTS: dict[str, Query] = {
     "pareto_product_revenue_distribution": lambda t: q.pareto_product_revenue_distribution(t.sales, t.products),
 }
 
+# The model chain is fitted once per table bundle and materialised; every
+# report downstream reads the written fits / optima / recommendations.
 def _fits(t: RetailTables) -> DataFrame:
-    return el.product_elasticity(t.pricing_history, t.products)
+    return t.stage("product_fits", lambda: el.product_elasticity(t.pricing_history, t.products))
 
 
 def _opt(t: RetailTables) -> DataFrame:
-    return op.optimal_prices(_fits(t), t.sales)
+    return t.stage("optimal_prices", lambda: op.optimal_prices(_fits(t), t.sales))
 
 
 def _recs(t: RetailTables) -> DataFrame:
-    fits = _fits(t)
-    return rc.recommendations(op.optimal_prices(fits, t.sales), t.products, fits, t.sales)
+    return t.stage("recommendations", lambda: rc.recommendations(_opt(t), t.products, _fits(t), t.sales))
 
 
 MODEL: dict[str, Query] = {
-    "product_elasticity": _fits,
+    "product_elasticity": lambda t: _fits(t).orderBy("elasticity", "product_id"),
     "category_elasticity": lambda t: el.category_elasticity(t.pricing_history, t.products),
     "elasticity_fit_summary": lambda t: el.fit_summary(_fits(t)),
     "elasticity_ci_widths": lambda t: el.ci_widths(_fits(t)),
     "price_curve": lambda t: op.price_curve(_fits(t), t.sales),
-    "optimal_prices": _opt,
+    "optimal_prices": lambda t: _opt(t).orderBy("product_id"),
     "optimization_summary": lambda t: op.optimization_summary(_opt(t)),
     "top_profit_opportunities": lambda t: op.top_profit_opportunities(_opt(t)),
     "simulate_scenarios": lambda t: _uplift(t),
-    "recommendations": _recs,
+    "recommendations": lambda t: _recs(t).orderBy(F.col("expected_profit_impact").desc(), "product_id"),
     "action_counts": lambda t: rc.action_counts(_recs(t)),
     "impact_totals": lambda t: rc.impact_totals(_recs(t)),
 }

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from priceloom.operators import cleaning
+from priceloom.session import materialize
 from priceloom.sources import testdata
 
+NAMES = ("customers", "products", "sales", "pricing_history")
+
 
 @dataclass
 class RetailTables:
@@ -18,6 +23,21 @@ class RetailTables:
     pricing_history: DataFrame
     raw: testdata.RawTables | None = field(default=None, repr=False)
     raw_history: DataFrame | None = field(default=None, repr=False)
+    _stages: dict = field(default_factory=dict, repr=False)
+
+    def stage(self, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table computed once per bundle and materialised (model
+        fits, optimal prices, recommendations): every report that needs it
+        reads the written result instead of re-deriving it."""
+        if key not in self._stages:
+            self._stages[key] = materialize(build(), key)
+        return self._stages[key]
+
+    def materialized(self) -> "RetailTables":
+        """Write the four clean tables once and return a bundle over the
+        written files (raw inputs kept for the audits)."""
+        out = [materialize(getattr(self, n), n) for n in NAMES]
+        return RetailTables(*out, raw=self.raw, raw_history=self.raw_history)
 
     def register(self, prefix: str = "") -> "RetailTables":
         """Expose the tables as temp views for free SQL (``spark.sql``)."""

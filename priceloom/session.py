@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the engine relies on.  AQE re-plans joins from runtime sizes
 # (a small side becomes a broadcast only once its real size is known),
@@ -76,3 +77,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" in base:
         return base.rstrip("/") + "/" + name
     return os.path.join(base, name)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (a lost executor recomputes from these files, not
+    from the raw inputs) and keeps column pruning / filter pushdown for the
+    readers, which an RDD checkpoint would lose."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
