@@ -64,9 +64,11 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
     return spark.read.schema(quality.AUDIT_SCHEMA).json(f"{base}/_audit")
 
 
-def read_tables(spark: SparkSession, out_dir: str) -> RetailTables:
-    """The clean tables a ``run_pipeline`` call wrote."""
+def read_tables(spark: SparkSession, out_dir: str, raw=None) -> RetailTables:
+    """The clean tables a ``run_pipeline`` call wrote (S2); ``raw`` (the raw
+    inputs) is attached for the audits, with the written raw history."""
     base = out_dir.rstrip("/")
     sales = spark.read.parquet(f"{base}/sales").select(*cleaning.SALES_COLUMNS)
     return RetailTables(spark.read.parquet(f"{base}/customers"), spark.read.parquet(f"{base}/products"),
-                        sales, spark.read.parquet(f"{base}/pricing_history"))
+                        sales, spark.read.parquet(f"{base}/pricing_history"), raw=raw,
+                        raw_history=spark.read.parquet(f"{base}/_raw_pricing_history"))
