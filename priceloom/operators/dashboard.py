@@ -17,16 +17,17 @@ KNOWN = "known"
 
 
 def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
-                 start=None, end=None, categories: Sequence[str] | None = None,
-                 regions: Sequence[str] | None = None,
+                 start=None, end=None, categories: Sequence[str] | str | None = KNOWN,
+                 regions: Sequence[str] | str | None = KNOWN,
                  segments: Sequence[str] | str | None = KNOWN) -> DataFrame:
     """Sales with category and customer segment attached, filtered by an
     inclusive date range and IN-lists.
 
-    ``segments="known"`` is the dashboard default: the segments present in
-    the customer table, so guest sales (segment ``Guest Shoppers``) drop
-    out.  It is a semi-join on the distinct segments -- nothing is collected.
-    ``None`` disables a filter.
+    ``"known"`` is the dashboard default for each list: every category of
+    the catalogue, every region seen in sales, every segment of the
+    customer table.  So sales of unknown products, without a region, or of
+    guests (segment ``Guest Shoppers``) drop out.  Known lists are semi-joins
+    on distinct values -- nothing is collected.  ``None`` disables a filter.
     """
     s = sales.join(products.select("product_id", "category"), "product_id", "left")
     s = s.join(customers.select("customer_id", "customer_segment"), "customer_id", "left")
@@ -35,9 +36,13 @@ def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
         s = s.filter(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
         s = s.filter(F.col("date") <= F.lit(end).cast("date"))
-    if categories is not None:
+    if categories == KNOWN:
+        s = s.join(products.select("category").distinct(), "category", "left_semi")
+    elif categories is not None:
         s = s.filter(F.col("category").isin(list(categories)))
-    if regions is not None:
+    if regions == KNOWN:
+        s = s.filter(F.col("region").isNotNull())
+    elif regions is not None:
         s = s.filter(F.col("region").isin(list(regions)))
     if segments == KNOWN:
         known = customers.select("customer_segment").distinct()

@@ -30,9 +30,10 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
 
     def write(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
         if partition:
-            # Contiguous key ranges per task: each task writes one or two
-            # month folders instead of every month (bounded file count).
-            df = df.repartitionByRange(partition, "date", "transaction_id")
+            # REBALANCE: hash by month, with AQE splitting big months and
+            # merging small ones, so each task writes one month folder
+            # (bounded file count) and no sampling pass re-runs the plan.
+            df = df.hint("rebalance", partition)
         w = df.write.mode("overwrite")
         if partition:
             w = w.partitionBy(partition)

@@ -33,12 +33,6 @@ class RetailTables:
             self._stages[key] = materialize(build(), key)
         return self._stages[key]
 
-    def materialized(self) -> "RetailTables":
-        """Write the four clean tables once and return a bundle over the
-        written files (raw inputs kept for the audits)."""
-        out = [materialize(getattr(self, n), n) for n in NAMES]
-        return RetailTables(*out, raw=self.raw, raw_history=self.raw_history)
-
     def register(self, prefix: str = "") -> "RetailTables":
         """Expose the tables as temp views for free SQL (``spark.sql``)."""
         for name in ("customers", "products", "sales", "pricing_history"):
@@ -46,18 +40,26 @@ class RetailTables:
         return self
 
 
-def clean_all(raw: testdata.RawTables) -> RetailTables:
-    customers = cleaning.clean_customers(raw.customers)
-    products = cleaning.clean_products(raw.products)
-    sales = cleaning.clean_sales(raw.sales, products)
+def _lazy(df: DataFrame, name: str) -> DataFrame:
+    return df
+
+
+def clean_all(raw: testdata.RawTables, materialized: bool = False) -> RetailTables:
+    """Clean the raw tables.  With ``materialized``, each clean table is
+    written (shared checkpoint folder) before the next stage reads it, as
+    the production pipeline does; otherwise the bundle is lazy plans."""
+    stage = materialize if materialized else _lazy
+    customers = stage(cleaning.clean_customers(raw.customers), "customers")
+    products = stage(cleaning.clean_products(raw.products), "products")
+    sales = stage(cleaning.clean_sales(raw.sales, products), "sales")
     raw_history = testdata.raw_pricing_history(sales, products)
-    history = cleaning.clean_pricing_history(raw_history)
+    history = stage(cleaning.clean_pricing_history(raw_history), "pricing_history")
     return RetailTables(customers, products, sales, history, raw, raw_history)
 
 
-def from_testdata(spark: SparkSession, sf_dir: str) -> RetailTables:
-    """Lazy plans: TPC-H-like parquet -> dirty raw views -> cleaned tables."""
-    return clean_all(testdata.raw_from_testdata(spark, sf_dir))
+def from_testdata(spark: SparkSession, sf_dir: str, materialized: bool = False) -> RetailTables:
+    """TPC-H-like parquet -> dirty raw views -> cleaned tables."""
+    return clean_all(testdata.raw_from_testdata(spark, sf_dir), materialized)
 
 
 def read_clean(spark: SparkSession, path: str) -> RetailTables:

@@ -65,7 +65,7 @@ def write_clean(tables, out_dir: str, partition_sales: bool = True, fmt: str = "
     for name in CLEAN_NAMES:
         df = getattr(tables, name)
         if name == "sales" and partition_sales:
-            df = df.repartitionByRange("year_month", "date", "transaction_id")
+            df = df.hint("rebalance", "year_month")
         w = df.write.mode("overwrite").format(fmt)
         if name == "sales" and partition_sales:
             w = w.partitionBy("year_month")

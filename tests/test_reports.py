@@ -52,7 +52,8 @@ def test_dashboard_default_filter_drops_guests(small_tables):
     sl = DB.filter_sales(t.sales, t.products, t.customers)
     assert sl.filter(F.col("customer_segment") == "Guest Shoppers").count() == 0
     assert sl.filter(F.col("customer_id") == "CUST-GUEST").count() == 0
-    assert DB.filter_sales(t.sales, t.products, t.customers, segments=None).count() == t.sales.count()
+    assert DB.filter_sales(t.sales, t.products, t.customers, categories=None, regions=None,
+                           segments=None).count() == t.sales.count()
 
 
 def test_weekday_order(small_tables):
