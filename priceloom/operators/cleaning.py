@@ -136,10 +136,10 @@ def invalid_sales_mask(df: DataFrame) -> Column:
 def accounting_identities(df: DataFrame) -> DataFrame:
     """Recompute effective price, revenue, cost, profit and margin from
     quantity, unit price, discount and base cost (overwrites raw values)."""
-    q = F.col("quantity")
     eff = r(F.col("unit_price") * (F.lit(1.0) - F.col("discount")))
     df = df.withColumns({
-        "quantity": q.cast("int"),
+        # text -> number -> int; malformed or out-of-range -> NULL (no ANSI error)
+        "quantity": F.expr("try_cast(try_cast(`quantity` AS DOUBLE) AS INT)"),
         "unit_price": r(coerce_numeric("unit_price")),
         "discount": r(F.col("discount"), 4),
     })
@@ -173,30 +173,41 @@ SALES_COLUMNS = [
 
 def stage_sales(raw: DataFrame) -> DataFrame:
     """Dedup (with the copy count) and date parsing, plus row flags:
-    ``_date_ok``, ``_invalid`` (glitch row) and ``_valid`` (row survives)."""
+    ``_date_ok``, ``_invalid`` (glitch row), ``_valid`` (row survives) and
+    the raw missing-value flags the audit counts."""
     df = keep_first(raw, ["transaction_id"], with_copies=True)
     df = df.withColumn("date", parse_mixed_date(F.col("date")))
-    date_ok = F.col("date").isNotNull()
-    return df.withColumns({"_date_ok": date_ok, "_invalid": invalid_sales_mask(df)}) \
-             .withColumn("_valid", F.col("_date_ok") & ~F.col("_invalid"))
+    return df.withColumns({
+        "_date_ok": F.col("date").isNotNull(),
+        "_invalid": invalid_sales_mask(df),
+        "_no_customer": F.col("customer_id").isNull(),
+        "_no_discount": coerce_numeric("discount").isNull(),
+    }).withColumn("_valid", F.col("_date_ok") & ~F.col("_invalid"))
+
+
+FLAGS = ["_copies", "_date_ok", "_invalid", "_no_customer", "_no_discount", "_valid"]
 
 
 def sales_stage_metrics() -> dict[str, Column]:
-    """Audit counts over ``stage_sales`` output (aggregate expressions)."""
+    """Audit counts over flagged sales rows (aggregate expressions)."""
     valid = F.col("_valid")
     return {
         "initial_rows": F.sum(COPIES),
         "duplicates_removed": F.sum(COPIES) - F.count(F.lit(1)),
         "unparseable_dates_removed": F.count_if(~F.col("_date_ok")),
         "invalid_records_removed": F.count_if(F.col("_date_ok") & F.col("_invalid")),
-        "missing_customer_ids_imputed": F.count_if(valid & F.col("customer_id").isNull()),
-        "missing_discounts_imputed": F.count_if(valid & coerce_numeric("discount").isNull()),
+        "missing_customer_ids_imputed": F.count_if(valid & F.col("_no_customer")),
+        "missing_discounts_imputed": F.count_if(valid & F.col("_no_discount")),
         "final_rows": F.count_if(valid),
     }
 
 
-def finish_sales(staged: DataFrame, products: DataFrame) -> DataFrame:
-    df = staged.filter(F.col("_valid"))
+def flagged_sales(raw: DataFrame, products: DataFrame) -> DataFrame:
+    """Every deduplicated row, imputed and recomputed, with its flags; the
+    clean table is the ``_valid`` rows (``finalize_sales``).  Keeping the
+    dropped rows flagged until the last stage lets a writer observe the audit
+    counts in its final stage, where each task is counted exactly once."""
+    df = stage_sales(raw)
     df = df.withColumns({
         "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),
         "discount": clip(F.coalesce(coerce_numeric("discount"), F.lit(0.0)), lower=0.0, upper=0.5),
@@ -205,24 +216,25 @@ def finish_sales(staged: DataFrame, products: DataFrame) -> DataFrame:
     df = df.join(cost, "product_id", "left")
     df = accounting_identities(df)
     df = date_parts(df)
-    return df.select(*[c for c in SALES_COLUMNS if c in df.columns])
+    return df.select(*SALES_COLUMNS, *FLAGS)
+
+
+def finalize_sales(flagged: DataFrame) -> DataFrame:
+    return flagged.filter(F.col("_valid")).select(*SALES_COLUMNS)
 
 
-def clean_sales(raw: DataFrame, products: DataFrame, observation=None) -> DataFrame:
+def clean_sales(raw: DataFrame, products: DataFrame) -> DataFrame:
     """Dedup -> parse dates -> drop glitches -> impute -> cost lookup ->
     identities -> calendar parts.
 
     ``products`` must be the cleaned catalogue.  The cost lookup is a left
     join on product_id: products are pre-projected to two columns, and the
     planner broadcasts them when their measured size allows (AQE), falling
-    back to a shuffled join for a very large catalogue.  An optional
-    ``pyspark.sql.Observation`` collects the audit counts as a side effect
-    of whatever action runs the plan (no extra pass).
+    back to a shuffled join for a very large catalogue.  Imputation and the
+    recomputed identities are row-local, so applying them before the glitch
+    filter (as ``flagged_sales`` does) changes no surviving row.
     """
-    staged = stage_sales(raw)
-    if observation is not None:
-        staged = staged.observe(observation, *[v.alias(k) for k, v in sales_stage_metrics().items()])
-    return finish_sales(staged, products)
+    return finalize_sales(flagged_sales(raw, products))
 
 
 def clean_pricing_history(raw: DataFrame) -> DataFrame:

@@ -28,8 +28,8 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
     Returns the audit (table, metric, value, detail) read back from JSON."""
     base = out_dir.rstrip("/")
 
-    def write(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
-        if partition:
+    def write(df: DataFrame, name: str, partition: str | None = None, rebalance: bool = True) -> DataFrame:
+        if partition and rebalance:
             # REBALANCE: hash by month, with AQE splitting big months and
             # merging small ones, so each task writes one month folder
             # (bounded file count) and no sampling pass re-runs the plan.
@@ -43,9 +43,16 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
     customers = write(cleaning.clean_customers(raw_customers), "customers")
     products = write(cleaning.clean_products(raw_products), "products")
 
+    # Audit counts are observed after the last shuffle, in the write's final
+    # stage: Spark applies a result task's accumulator update once, so a
+    # re-executed upstream stage (lost executor) cannot double-count.
     obs = Observation("sales_stage")
-    sales = write(cleaning.clean_sales(raw_sales, products, observation=obs), "sales",
-                  "year_month" if partition_sales else None)
+    flagged = cleaning.flagged_sales(raw_sales, products)
+    if partition_sales:
+        flagged = flagged.hint("rebalance", "year_month")
+    flagged = flagged.observe(obs, *[v.alias(k) for k, v in cleaning.sales_stage_metrics().items()])
+    sales = write(cleaning.finalize_sales(flagged), "sales", "year_month" if partition_sales else None,
+                  rebalance=False)
     # Column order as cleaned (a partition column is appended on read).
     sales = sales.select(*cleaning.SALES_COLUMNS)
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from priceloom.functions.numerics import r
 from priceloom.operators import dashboard as db
 from priceloom.operators import elasticity as el
 from priceloom.operators import quality as ql
@@ -65,7 +66,18 @@ def _recs(t: RetailTables) -> DataFrame:
     return t.stage("recommendations", lambda: rc.recommendations(_opt(t), t.products, _fits(t), t.sales))
 
 
+def _features(t: RetailTables) -> DataFrame:
+    # JVM and C logarithms may differ in the last bit; the published feature
+    # view carries 12 decimals (the regression uses the unrounded values).
+    f = el.elasticity_features(t.pricing_history, t.products)
+    return f.select("date", "product_id", "category", "price", "quantity_sold", "competitor_price", "month",
+                    "year_month", r("x1", 12).alias("ln_price"), r("x2", 12).alias("ln_comp_price"),
+                    r("y", 12).alias("ln_quantity"))
+
+
 MODEL: dict[str, Query] = {
+    "elasticity_features": _features,
+    "annual_volumes": lambda t: op.annual_volumes(t.sales),
     "product_elasticity": lambda t: _fits(t).orderBy("elasticity", "product_id"),
     "category_elasticity": lambda t: el.category_elasticity(t.pricing_history, t.products),
     "elasticity_fit_summary": lambda t: el.fit_summary(_fits(t)),
