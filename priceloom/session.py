@@ -55,19 +55,22 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage; a private
-    fallback folder is created only when the setting is absent (tests,
-    local runs).
+    On a cluster this must already be set to shared storage and is only
+    read.  A private fallback folder is created only when the setting is
+    absent (tests, local runs).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="priceloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # core setting may be read-only at runtime
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
