@@ -2,7 +2,7 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8).
 Stage 1 runs the full ETL (raw views -> cleaned Parquet + audit) into a
-fresh scratch folder; stage 2 runs every report over the written tables,
+fresh folder under spark.checkpoint.dir; stage 2 runs every report over the written tables,
 each forced to completion through the ``noop`` sink (full execution, no
 driver collection).  Prints one JSON line.
 """
@@ -12,29 +12,29 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from priceloom.plans import pipeline, registry  # noqa: E402
-from priceloom.session import build_session  # noqa: E402
+from priceloom.session import build_session, scratch_path  # noqa: E402
 from priceloom.sources import testdata  # noqa: E402
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    scratch = tempfile.mkdtemp(prefix="priceloom-bench-")
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app_name="priceloom-bench",
-                          extra={"spark.driver.memory": "16g",
-                                 "spark.checkpoint.dir": os.path.join(scratch, "ckpt")})
-    spark.sparkContext.setCheckpointDir(os.path.join(scratch, "ckpt"))
+                          extra={"spark.driver.memory": "16g"})
+    # Output goes to a fresh folder under the session's shared checkpoint
+    # folder (spark.checkpoint.dir, set by the environment; a private one is
+    # created only when it is absent).
+    out = scratch_path(spark, f"bench-{uuid.uuid4().hex[:12]}")
     times: dict[str, float] = {}
 
     t0 = time.time()
     raw = testdata.raw_from_testdata(spark, sf_dir)
-    out = os.path.join(scratch, "clean")
     audit = pipeline.run_pipeline(spark, raw.customers, raw.products, raw.sales,
                                   testdata.raw_pricing_history, out)
     audit.collect()

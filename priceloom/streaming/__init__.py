@@ -1,0 +1,8 @@
+"""Streaming operators.
+
+The application this engine re-expresses has no streaming part: no stream
+source, event-time window, watermark, stateful operator or late-data rule
+exists in it, so this package holds no operator.  Its batch cleaning job
+(``priceloom.plans.pipeline``) is the unit a scheduler would re-run as new
+raw files arrive.
+"""
