@@ -68,11 +68,11 @@ def _recs(t: RetailTables) -> DataFrame:
 
 def _features(t: RetailTables) -> DataFrame:
     # JVM and C logarithms may differ in the last bit; the published feature
-    # view carries 12 decimals (the regression uses the unrounded values).
+    # view carries 9 decimals (the regression uses the unrounded values).
     f = el.elasticity_features(t.pricing_history, t.products)
     return f.select("date", "product_id", "category", "price", "quantity_sold", "competitor_price", "month",
-                    "year_month", r("x1", 12).alias("ln_price"), r("x2", 12).alias("ln_comp_price"),
-                    r("y", 12).alias("ln_quantity"))
+                    "year_month", r("x1", 9).alias("ln_price"), r("x2", 9).alias("ln_comp_price"),
+                    r("y", 9).alias("ln_quantity"))
 
 
 MODEL: dict[str, Query] = {
