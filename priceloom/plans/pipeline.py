@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from priceloom.operators import cleaning, quality
-from priceloom.plans.tables import RetailTables
+from priceloom.plans.tables import RetailTables, read_clean
 from priceloom.sources import files
 
 HistorySource = DataFrame | Callable[[DataFrame, DataFrame], DataFrame]
@@ -75,8 +75,7 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
 def read_tables(spark: SparkSession, out_dir: str, raw=None) -> RetailTables:
     """The clean tables a ``run_pipeline`` call wrote (S2); ``raw`` (the raw
     inputs) is attached for the audits, with the written raw history."""
-    base = out_dir.rstrip("/")
-    sales = spark.read.parquet(f"{base}/sales").select(*cleaning.SALES_COLUMNS)
-    return RetailTables(spark.read.parquet(f"{base}/customers"), spark.read.parquet(f"{base}/products"),
-                        sales, spark.read.parquet(f"{base}/pricing_history"), raw=raw,
-                        raw_history=spark.read.parquet(f"{base}/_raw_pricing_history"))
+    t = read_clean(spark, out_dir)
+    t.raw = raw
+    t.raw_history = spark.read.parquet(f"{out_dir.rstrip('/')}/_raw_pricing_history")
+    return t

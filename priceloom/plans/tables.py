@@ -63,7 +63,9 @@ def from_testdata(spark: SparkSession, sf_dir: str, materialized: bool = False)
 
 
 def read_clean(spark: SparkSession, path: str) -> RetailTables:
-    """Cleaned tables previously written by ``plans.pipeline.run_pipeline``."""
+    """Cleaned tables previously written by ``plans.pipeline.run_pipeline``
+    or ``sources.files.write_clean`` (sales columns back in cleaned order
+    after a month-partitioned write)."""
     p = path.rstrip("/")
-    return RetailTables(*(spark.read.parquet(f"{p}/{n}") for n in
-                          ("customers", "products", "sales", "pricing_history")))
+    customers, products, sales, history = (spark.read.parquet(f"{p}/{n}") for n in NAMES)
+    return RetailTables(customers, products, sales.select(*cleaning.SALES_COLUMNS), history)
