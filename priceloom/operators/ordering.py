@@ -8,9 +8,9 @@ range-partitioned sort instead:
 
 1. ``repartitionByRange`` on the full ordering (sampled boundaries split
    even long runs of equal leading values, because the trailing columns
-   differ), tagged with the block id; the tagged frame is checkpointed to the
-   shared checkpoint folder, so every later branch (and any recomputation
-   after a lost executor) sees the same blocks;
+   differ), tagged with the block id; the tagged frame is written to the
+   shared checkpoint folder and read back, so every later branch (and any
+   recomputation after a lost executor) sees the same blocks;
 2. per block (and group) counts / sums: one row per block, a bounded table;
 3. prefix offsets over that small table;
 4. numbering / running sums inside each block, plus the block's offset.
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from priceloom.session import checkpoint_dir
+from priceloom.session import materialize
 
 BLOCK = "_blk"
 
@@ -35,9 +35,8 @@ def _num_blocks(df: DataFrame) -> int:
 
 def _blocked(df: DataFrame, order: list[Column], n_blocks: int | None) -> DataFrame:
     n = n_blocks or _num_blocks(df)
-    checkpoint_dir(df.sparkSession)
     tagged = df.repartitionByRange(n, *order).withColumn(BLOCK, F.spark_partition_id())
-    return tagged.checkpoint(eager=True)
+    return materialize(tagged, "blocks")
 
 
 def row_number_within(df: DataFrame, group_cols: list[str], order: list[Column], out: str,
