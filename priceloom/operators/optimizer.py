@@ -92,8 +92,10 @@ def optimal_prices(fits: DataFrame, sales: DataFrame, months: int = 24) -> DataF
     meta = fits.select("product_id", "product_name", "category", "elasticity", "classification",
                        "base_cost", "current_price", "competitor_price")
     j = meta.join(best, "product_id")
-    rev_delta = r(F.col("rmax.expected_revenue") - F.col("cur.expected_revenue"))
-    prof_delta = r(F.col("pmax.expected_profit") - F.col("cur.expected_profit"))
+    # Upsides are published rounded; their percentages use the raw difference.
+    rev_diff = F.col("rmax.expected_revenue") - F.col("cur.expected_revenue")
+    prof_diff = F.col("pmax.expected_profit") - F.col("cur.expected_profit")
+    rev_delta, prof_delta = r(rev_diff), r(prof_diff)
     cur_rev, cur_prof = F.col("cur.expected_revenue"), F.col("cur.expected_profit")
     return j.select(
         "product_id", "product_name", "category", "elasticity", "classification", "base_cost",
@@ -107,7 +109,7 @@ def optimal_prices(fits: DataFrame, sales: DataFrame, months: int = 24) -> DataF
         F.col("rmax.expected_units").alias("rev_max_expected_units"),
         F.col("rmax.expected_revenue").alias("rev_max_expected_revenue"),
         rev_delta.alias("rev_max_revenue_upside"),
-        F.when(cur_rev > 0, r(safe_div(rev_delta, cur_rev) * F.lit(100.0))).otherwise(F.lit(0.0))
+        F.when(cur_rev > 0, r(safe_div(rev_diff, cur_rev) * F.lit(100.0))).otherwise(F.lit(0.0))
          .alias("rev_max_revenue_upside_pct"),
         F.col("pmax.candidate_price").alias("profit_max_price"),
         F.col("pmax.price_change_pct").alias("profit_max_price_change_pct"),
@@ -116,7 +118,7 @@ def optimal_prices(fits: DataFrame, sales: DataFrame, months: int = 24) -> DataF
         F.col("pmax.expected_profit").alias("profit_max_expected_profit"),
         F.col("pmax.margin_pct").alias("profit_max_margin_pct"),
         prof_delta.alias("profit_max_profit_upside"),
-        F.when(cur_prof > 0, r(safe_div(prof_delta, cur_prof) * F.lit(100.0))).otherwise(F.lit(0.0))
+        F.when(cur_prof > 0, r(safe_div(prof_diff, cur_prof) * F.lit(100.0))).otherwise(F.lit(0.0))
          .alias("profit_max_profit_upside_pct"),
     )
 
