@@ -15,8 +15,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from priceloom.session import build_session
     ckpt = tempfile.mkdtemp(prefix="priceloom-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="priceloom-test-wh-")
     s = build_session("local[4]", shuffle_partitions=4, app_name="priceloom-tests",
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": wh})
     s.sparkContext.setCheckpointDir(ckpt)
     yield s
 

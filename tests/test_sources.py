@@ -96,3 +96,12 @@ def test_preview_and_export(spark, small_tables):
     out = tempfile.mkdtemp(prefix="priceloom-csv-")
     files.export_csv(pv, os.path.join(out, "p"))
     assert any(f.endswith(".csv") for f in os.listdir(os.path.join(out, "p")))
+
+
+def test_write_tables_to_catalogue(spark, small_tables):
+    from priceloom.plans.tables import RetailTables
+    t = small_tables
+    tiny = RetailTables(t.customers.limit(5), t.products.limit(5), t.sales.limit(5), t.pricing_history.limit(5))
+    files.write_tables(tiny, prefix="pl_test_")
+    assert spark.table("pl_test_sales").count() == 5
+    assert set(spark.table("pl_test_products").columns) == set(t.products.columns)
