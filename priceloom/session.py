@@ -52,6 +52,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def configure_for_scale(spark: SparkSession, fact_bytes: int,
+                        target_partition_bytes: int = 256 * 1024 ** 2,
+                        max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+    """Size scan and shuffle partitions for a fact table of ``fact_bytes``.
+
+    Scan splits and AQE's advisory shuffle size are set to the target; the
+    initial shuffle partition count is the fact size over the target
+    (capped), and AQE coalesces down from it and splits skewed partitions
+    above it.  ``parallelismFirst=false`` makes coalescing honour the target
+    size instead of maximising task count.  Returns the settings applied.
+    """
+    parts = max(200, min(max_shuffle_partitions, -(-fact_bytes // target_partition_bytes)))
+    conf = {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+    configure(spark)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

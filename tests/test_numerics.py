@@ -48,3 +48,16 @@ def test_money_sum_is_exact(spark):
 def test_safe_div_returns_null(spark):
     df = spark.createDataFrame([(1.0, 0.0), (1.0, None), (3.0, 2.0)], "a double, b double")
     assert [r[0] for r in df.select(N.safe_div("a", "b")).collect()] == [None, None, 1.5]
+
+
+def test_scale_configuration(spark):
+    from priceloom.session import configure_for_scale
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        conf = configure_for_scale(spark, 10 * 1024 ** 4)  # 10 TiB of facts
+        assert int(conf["spark.sql.shuffle.partitions"]) == 40960
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", before)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 ** 2))
