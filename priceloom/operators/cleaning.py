@@ -38,7 +38,8 @@ def _order_key(df: DataFrame, key: list[str]) -> Column:
     return F.struct(*[F.col(c) for c in df.columns if c not in key])
 
 
-def keep_first(df: DataFrame, key: list[str], with_copies: bool = False) -> DataFrame:
+def keep_first(df: DataFrame, key: list[str], with_copies: bool = False,
+               columns: list[str] | None = None) -> DataFrame:
     """``drop_duplicates(subset=key)``: the first row in ingest order wins.
 
     Expressed as an aggregate (``min`` of ``struct(order, payload)``) rather
@@ -46,15 +47,21 @@ def keep_first(df: DataFrame, key: list[str], with_copies: bool = False) -> Data
     map task, so even a key holding a third of all rows ships one row per
     task through the shuffle.  ``dropDuplicates`` would keep an arbitrary
     copy.  NULL keys form one group, as in pandas.
+
+    ``columns`` limits the payload (the key columns are always kept).  The
+    optimizer cannot prune fields inside the aggregated struct, so callers
+    that need a few columns name them here and the sort-based aggregate
+    carries only those.  The winner is chosen exactly as without it.
     """
-    payload = [c for c in df.columns if c not in key and c != INGEST_ORDER]
+    kept = [c for c in df.columns
+            if c != INGEST_ORDER and (columns is None or c in key or c in columns)]
+    payload = [c for c in kept if c not in key]
     first = F.min(F.struct(_order_key(df, key).alias("_o"), *[F.col(c) for c in payload]))
     aggs = [first.alias("_first")]
     if with_copies:
         aggs.append(F.count(F.lit(1)).alias(COPIES))
     g = df.groupBy(*key).agg(*aggs)
-    out = [F.col(c) if c in key else F.col(f"_first.{c}").alias(c)
-           for c in df.columns if c != INGEST_ORDER]
+    out = [F.col(c) if c in key else F.col(f"_first.{c}").alias(c) for c in kept]
     if with_copies:
         out.append(F.col(COPIES))
     return g.select(*out)
@@ -171,11 +178,20 @@ SALES_COLUMNS = [
 ]
 
 
-def stage_sales(raw: DataFrame) -> DataFrame:
+# Raw sales columns the cleaning recomputes (accounting identities and
+# calendar parts): the dedup does not need to carry them.
+RECOMPUTED = ["effective_price", "cost", "profit", "profit_margin_pct", "year", "month", "year_month",
+              "day_of_week"]
+# Raw sales columns the row flags read.
+FLAG_INPUTS = ["date", "customer_id", "quantity", "unit_price", "discount", "revenue"]
+
+
+def stage_sales(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Dedup (with the copy count) and date parsing, plus row flags:
     ``_date_ok``, ``_invalid`` (glitch row), ``_valid`` (row survives) and
-    the raw missing-value flags the audit counts."""
-    df = keep_first(raw, ["transaction_id"], with_copies=True)
+    the raw missing-value flags the audit counts.  ``columns`` limits the
+    carried payload (it must include ``FLAG_INPUTS``)."""
+    df = keep_first(raw, ["transaction_id"], with_copies=True, columns=columns)
     df = df.withColumn("date", parse_mixed_date(F.col("date")))
     return df.withColumns({
         "_date_ok": F.col("date").isNotNull(),
@@ -207,7 +223,7 @@ def flagged_sales(raw: DataFrame, products: DataFrame) -> DataFrame:
     clean table is the ``_valid`` rows (``finalize_sales``).  Keeping the
     dropped rows flagged until the last stage lets a writer observe the audit
     counts in its final stage, where each task is counted exactly once."""
-    df = stage_sales(raw)
+    df = stage_sales(raw, columns=[c for c in raw.columns if c not in RECOMPUTED])
     df = df.withColumns({
         "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),
         "discount": clip(F.coalesce(coerce_numeric("discount"), F.lit(0.0)), lower=0.0, upper=0.5),

@@ -10,7 +10,12 @@ range-partitioned sort instead:
    even long runs of equal leading values, because the trailing columns
    differ), tagged with the block id; the tagged frame is written to the
    shared checkpoint folder and read back, so every later branch (and any
-   recomputation after a lost executor) sees the same blocks;
+   recomputation after a lost executor) sees the same blocks.  Without an
+   explicit block count AQE sizes the blocks: it coalesces adjacent ranges
+   up to the advisory partition size, so the block count follows the data
+   size (not ``spark.sql.shuffle.partitions``, which at cluster scale would
+   cut a product table into hundreds of thousands of tiny files), and the
+   coalesced ids stay in range order;
 2. per block (and group) counts / sums: one row per block, a bounded table;
 3. prefix offsets over that small table;
 4. numbering / running sums inside each block, plus the block's offset.
@@ -28,15 +33,9 @@ from priceloom.session import materialize
 BLOCK = "_blk"
 
 
-def _num_blocks(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
 def _blocked(df: DataFrame, order: list[Column], n_blocks: int | None) -> DataFrame:
-    n = n_blocks or _num_blocks(df)
-    tagged = df.repartitionByRange(n, *order).withColumn(BLOCK, F.spark_partition_id())
-    return materialize(tagged, "blocks")
+    ranged = df.repartitionByRange(n_blocks, *order) if n_blocks else df.repartitionByRange(*order)
+    return materialize(ranged.withColumn(BLOCK, F.spark_partition_id()), "blocks")
 
 
 def row_number_within(df: DataFrame, group_cols: list[str], order: list[Column], out: str,

@@ -19,7 +19,8 @@ def _long(table: str, agg_row: DataFrame, metrics: list[str]) -> DataFrame:
 
 
 def customers_audit(raw: DataFrame) -> DataFrame:
-    d = cleaning.trim_strings(cleaning.keep_first(raw, ["customer_id"], with_copies=True), ["region"])
+    d = cleaning.trim_strings(cleaning.keep_first(raw, ["customer_id"], with_copies=True, columns=["region"]),
+                              ["region"])
     g = d.agg(F.sum(cleaning.COPIES).alias("initial_rows"), F.count(F.lit(1)).alias("final_rows"),
               (F.sum(cleaning.COPIES) - F.count(F.lit(1))).alias("duplicates_removed"),
               F.count_if(F.col("region").isNull() | (F.col("region") == "nan")).alias("null_regions_imputed"))
@@ -49,7 +50,7 @@ def sales_totals(clean: DataFrame) -> DataFrame:
 
 def sales_audit(raw: DataFrame, clean: DataFrame) -> DataFrame:
     m = cleaning.sales_stage_metrics()
-    staged = cleaning.stage_sales(raw).agg(*[v.alias(k) for k, v in m.items()])
+    staged = cleaning.stage_sales(raw, columns=cleaning.FLAG_INPUTS).agg(*[v.alias(k) for k, v in m.items()])
     return _long("sales", staged, list(m)).unionByName(sales_totals(clean))
 
 
