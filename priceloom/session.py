@@ -19,6 +19,10 @@ ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Spark 4 records the Python call site of every Column operation for
+    # error messages, at several JVM round trips each; plan building is
+    # driver time that does not shrink with the cluster, so it is off.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
