@@ -82,18 +82,29 @@ def configure_for_scale(spark: SparkSession, fact_bytes: int,
     return conf
 
 
+def local_master(master: str) -> bool:
+    """True for ``local``, ``local[n]``, ``local[*]`` and ``local[n,f]``: one
+    machine, where a private folder is visible to every task."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must already be set to shared storage and is only
-    read.  A private fallback folder is created only when the setting is
-    absent (tests, local runs).
+    read; without it a cluster run fails fast.  A private fallback folder
+    is created only for a local master with the setting absent (tests,
+    local runs).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not d:
         d = sc.getCheckpointDir()
     if not d:
+        if not local_master(sc.master):
+            # A driver-local folder is invisible to executors on other
+            # machines: refuse instead of writing stage tables there.
+            raise RuntimeError("spark.checkpoint.dir is not set; on a cluster it must name shared storage")
         d = tempfile.mkdtemp(prefix="priceloom-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

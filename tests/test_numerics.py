@@ -61,3 +61,11 @@ def test_scale_configuration(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", before)
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 ** 2))
+
+
+def test_private_checkpoint_folder_only_for_local_masters():
+    from priceloom.session import local_master
+    assert local_master("local") and local_master("local[8]") and local_master("local[*]")
+    assert local_master("local[4,2]")
+    assert not local_master("yarn") and not local_master("spark://host:7077")
+    assert not local_master("k8s://https://host:443") and not local_master("local-cluster[2,1,1024]")
