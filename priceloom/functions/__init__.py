@@ -5,6 +5,7 @@ from priceloom.functions.numerics import (
     clip,
     erfc_nonneg,
     exact_avg,
+    exact_sum,
     guarded,
     is_true,
     money_sum,
@@ -17,7 +18,7 @@ from priceloom.functions.numerics import (
 )
 
 __all__ = [
-    "clip", "day_name", "erfc_nonneg", "exact_avg", "guarded", "is_true", "money_sum",
+    "clip", "day_name", "erfc_nonneg", "exact_avg", "exact_sum", "guarded", "is_true", "money_sum",
     "parse_iso_date", "parse_mixed_date", "pct", "pct_change", "r", "safe_div",
     "title_case", "two_sided_p", "year_month",
 ]

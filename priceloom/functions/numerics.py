@@ -9,6 +9,7 @@ doubles.
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,13 +31,28 @@ def r(c: ColumnOrName, n: int = 2) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
-def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
-    """Exact sum of a column holding ``scale``-decimal values, as DOUBLE.
+def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
+    """Exact sum of a column holding ``scale``-decimal values, as
+    DECIMAL(28, scale), the type ``SUM(CAST(c AS DECIMAL(18, scale)))`` has.
 
-    Summing in DECIMAL makes the total independent of partitioning and
-    task order, so a re-run (or a lost executor) yields the same bits.
+    Each value is read as a whole number of 10^-scale units and the units are
+    summed as LONG: primitive adds in the aggregation buffer, where a
+    DECIMAL(28) buffer boxes a BigDecimal on every update (about 2.5x slower
+    per aggregate).  The total turns back into a decimal once per group.  For
+    values already at ``scale`` decimals (every cleaned money column),
+    ``rint(x * 10^scale)`` is exactly the decimal cast's unscaled value.
+    Integer sums are exact, so the total does not depend on partitioning or
+    task order; under ANSI mode a sum beyond 9.2e18 units fails instead of
+    wrapping.
     """
-    return F.sum(col(c).cast(f"decimal(18,{scale})")).cast("double")
+    units = F.rint(col(c) * F.lit(float(10 ** scale))).cast("long")
+    step = F.lit(Decimal(1).scaleb(-scale))
+    return (F.sum(units).cast("decimal(20,0)") * step).cast(f"decimal(28,{scale})")
+
+
+def money_sum(c: ColumnOrName, scale: int = 2) -> Column:
+    """``exact_sum`` as DOUBLE."""
+    return exact_sum(c, scale).cast("double")
 
 
 def exact_avg(c: ColumnOrName, scale: int = 2) -> Column:

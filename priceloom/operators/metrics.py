@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from priceloom.functions.numerics import exact_sum
+
 
 def dsum(c: str, scale: int = 2) -> Column:
-    return F.sum(F.col(c).cast(f"decimal(18,{scale})"))
+    return exact_sum(c, scale)
 
 
 def dbl(c: str | Column) -> Column:

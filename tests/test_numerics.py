@@ -69,3 +69,17 @@ def test_private_checkpoint_folder_only_for_local_masters():
     assert local_master("local[4,2]")
     assert not local_master("yarn") and not local_master("spark://host:7077")
     assert not local_master("k8s://https://host:443") and not local_master("local-cluster[2,1,1024]")
+
+
+def test_exact_sum_equals_decimal_cast_sum(spark):
+    """Long-unit sums give the type and value of SUM(CAST(x AS DECIMAL(18, s)))."""
+    import random
+    rnd = random.Random(7)
+    rows = [(i % 5, rnd.randint(-10 ** 9, 10 ** 9) / 100.0, rnd.randint(-10 ** 8, 10 ** 8) / 10000.0)
+            for i in range(3000)] + [(9, None, None)]
+    df = spark.createDataFrame(rows, "g int, a double, b double")
+    want = df.groupBy("g").agg(F.sum(F.col("a").cast("decimal(18,2)")).alias("a"),
+                               F.sum(F.col("b").cast("decimal(18,4)")).alias("b"))
+    got = df.groupBy("g").agg(N.exact_sum("a").alias("a"), N.exact_sum("b", 4).alias("b"))
+    assert got.schema == want.schema
+    assert sorted(got.collect()) == sorted(want.collect())
