@@ -31,7 +31,7 @@ def r(c: ColumnOrName, n: int = 2) -> Column:
     return F.rint(col(c) * F.lit(scale)) / F.lit(scale)
 
 
-def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
+def exact_sum(c: ColumnOrName, scale: int = 2, weight: ColumnOrName | None = None) -> Column:
     """Exact sum of a column holding ``scale``-decimal values, as
     DECIMAL(28, scale), the type ``SUM(CAST(c AS DECIMAL(18, scale)))`` has.
 
@@ -43,9 +43,12 @@ def exact_sum(c: ColumnOrName, scale: int = 2) -> Column:
     ``rint(x * 10^scale)`` is exactly the decimal cast's unscaled value.
     Integer sums are exact, so the total does not depend on partitioning or
     task order; under ANSI mode a sum beyond 9.2e18 units fails instead of
-    wrapping.
+    wrapping.  ``weight`` (an integer column) multiplies each value's units
+    first: ``SUM(x * w)`` for a value repeated ``w`` times.
     """
     units = F.rint(col(c) * F.lit(float(10 ** scale))).cast("long")
+    if weight is not None:
+        units = units * col(weight).cast("long")
     step = F.lit(Decimal(1).scaleb(-scale))
     return (F.sum(units).cast("decimal(20,0)") * step).cast(f"decimal(28,{scale})")
 

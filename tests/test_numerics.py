@@ -83,3 +83,12 @@ def test_exact_sum_equals_decimal_cast_sum(spark):
     got = df.groupBy("g").agg(N.exact_sum("a").alias("a"), N.exact_sum("b", 4).alias("b"))
     assert got.schema == want.schema
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_exact_sum_weighted_equals_decimal_product_sum(spark):
+    rows = [(1, 12.34, 3), (1, 0.01, 1000000), (1, None, 5), (2, -7.5, 2), (2, 99999.99, 1)]
+    df = spark.createDataFrame(rows, "g int, v double, w long")
+    want = df.groupBy("g").agg(
+        F.sum(F.col("v").cast("decimal(18,2)") * F.col("w").cast("decimal(20,0)")).cast("double").alias("s"))
+    got = df.groupBy("g").agg(N.exact_sum("v", weight="w").cast("double").alias("s"))
+    assert sorted(got.collect()) == sorted(want.collect())
