@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from priceloom.llm.minhash_dedup import near_dedup
+    return near_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from priceloom.llm.secret_scan import find_secrets
     return find_secrets(_table(spark, sf_dir, "documents"))
@@ -25,4 +30,4 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_scan, op8_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op6_secret_scan, op8_exact_dedup)}
