@@ -8,9 +8,13 @@ again as the next one's input.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from priceloom.llm.common import materialize, small_batches
-from priceloom.llm.exact_dedup import drop_exact_copies
+from priceloom.llm.exact_dedup import drop_exact_copies, normalised
+from priceloom.llm.language import keep_identified
+from priceloom.llm.minhash_dedup import drop_near_copies
+from priceloom.llm.packing import pack_documents, words
 from priceloom.llm.secret_scan import redact
 from priceloom.session import configure
 
@@ -20,19 +24,41 @@ def _ready(spark: SparkSession) -> None:
     small_batches(spark)
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identified language go."""
+    _ready(spark)
+    return keep_identified(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts one document stays."""
     _ready(spark)
     return drop_exact_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies one document stays."""
+    _ready(spark)
+    return drop_near_copies(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
+    """All documents stay; secrets in their texts are replaced by a mark."""
     _ready(spark)
     out = redact(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document's place in the training sequences."""
+    _ready(spark)
+    return pack_documents(docs, words(F.col("text")), F.col("source"), F.xxhash64(normalised(F.col("text"))))
 
 
-STAGES = [("exact_dedup", exact_dedup), ("secret_scan", secret_scan)]
+STAGES = [("language_id", language_id), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup),
+          ("secret_scan", secret_scan), ("best_fit_packing", best_fit_packing)]
 
 #: SQL can't express the trained and the probabilistic stages; tests/llm
 #: compares them with brute force.

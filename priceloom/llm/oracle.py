@@ -11,5 +11,17 @@ WITH n AS (
 )
 SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.text_sha256
 FROM n JOIN g USING (text_sha256)
+""",
+    "op3_nearest": """
+WITH v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND list_bool_or(list_transform(embedding, lambda y: y <> 0))
+      AND list_bool_and(list_transform(embedding, lambda y: y IS NOT NULL AND isfinite(y)))
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
 """,
 }

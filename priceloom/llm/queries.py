@@ -4,6 +4,7 @@ whole table and shapes the result as its contract says."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from priceloom.llm.common import small_batches
 from priceloom.session import configure
@@ -26,20 +27,49 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from priceloom.llm.nearest import nearest
+    return nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from priceloom.llm.exact_dedup import normalised
+    from priceloom.llm.packing import pack_documents, words
+    docs = _table(spark, sf_dir, "documents")
+    return pack_documents(docs, words(F.col("text")), F.col("source"), F.xxhash64(normalised(F.col("text"))))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from priceloom.llm.language import identify
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from priceloom.llm.secret_scan import find_secrets
     return find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op7_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from priceloom.llm.chunk_dedup import repeated_passages
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from priceloom.llm.exact_dedup import exact_dedup
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from priceloom.llm.toxicity import score, train
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return score(docs, train(docs, labels))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from priceloom.llm.token_files import token_round_trip
     return token_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_sentencepiece, op6_secret_scan, op8_exact_dedup, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_sentencepiece, op3_nearest, op4_packing, op5_language, op6_secret_scan,
+                                 op7_chunk_dedup, op8_exact_dedup, op9_toxicity, op10_token_files)}
