@@ -8,8 +8,8 @@
 2. Documents with equal sets form one class; from here on a class is one
    node.  The class table is one row per class, aggregated map-side.
 3. Nodes that agree on some band (``BAND`` chosen registers) are candidates.
-   A few bands give every node the neighbour it shares most of them with;
-   these pairs are verified and contract large groups first.
+   A few bands give every node the leaders of its buckets; these pairs, a
+   bounded number per node, are verified and contract large groups first.
 4. All bands then: only buckets that still hold more than one component are
    looked at.  A bucket is cut into blocks; each pair of blocks is one unit
    of work, so no bucket is ever gathered in a task.  Pairs of different
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch_words, documents, materialize, mix, text_slices
@@ -41,12 +41,14 @@ RATE = 20.0
 BAND, BANDS, FIRST_BANDS = 6, 96, 16
 BLOCK = 1024  # members of a bucket compared at once
 FEW = 90  # agreeing registers: with fewer the likelihood test drops a pair in any case
+TRIES = (1, 4, FIRST_BANDS)  # leaders a node is compared with, by the end of each contraction round
 DOUBT = 20.0  # log-likelihood by which "below the threshold" must win to drop a pair
 
 _RNG = np.random.default_rng(20)
 _FACTORS = (_RNG.integers(1, 1 << 63, REGISTERS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _CHOSEN = np.stack([_RNG.permutation(REGISTERS)[:BAND] for _ in range(BANDS)])
 _SALT = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+_BAND_BITS = np.uint64(127)  # the lowest bits of a bucket's key say which band it is of
 _PLACE = mix(np.arange(1, 64, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -124,7 +126,8 @@ def _bands(first: int) -> object:
                 regs = _registers(part["regs"]).astype(np.uint64)
                 keys = np.empty((len(regs), first), np.uint64)
                 for t in range(first):
-                    keys[:, t] = mix((regs[:, _CHOSEN[t]] * _PLACE[:BAND]).sum(axis=1, dtype=np.uint64) + _SALT[t])
+                    key = mix((regs[:, _CHOSEN[t]] * _PLACE[:BAND]).sum(axis=1, dtype=np.uint64) + _SALT[t])
+                    keys[:, t] = (key & ~_BAND_BITS) | np.uint64(t)
                 names = [x for x in part.schema.names if x != "regs"]
                 cols = [pa.array(np.repeat(part[x].to_numpy(zero_copy_only=False), first)) for x in names]
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), *cols], ["key", *names])
@@ -187,8 +190,12 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y = np.concatenate(left), np.concatenate(right)
         for at in range(0, len(x), 20000):
             p, q = x[at:at + 20000], y[at:at + 20000]
-            ok = may_reach(regs[p], regs[q], n[p], n[q])
-            if ok.any():
+            ok = np.flatnonzero(may_reach(regs[p], regs[q], n[p], n[q]))
+            # a pair meets in every bucket it shares: only the first band's passes it on
+            same = regs[p[ok]] == regs[q[ok]]
+            shared = np.stack([same[:, chosen].all(axis=1) for chosen in _CHOSEN], axis=1)
+            ok = ok[shared.any(axis=1) & (shared.argmax(axis=1) == (key[p[ok], 0] & 127))]
+            if len(ok):
                 u, v = node[p[ok]], node[q[ok]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(u, v)), pa.array(np.maximum(u, v))], ["a", "b"])
 
@@ -234,14 +241,30 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return common.where(F.col("i").cast("bigint") * 100 >= PERCENT * (F.col("s") - F.col("i"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _first_pairs(nodes: DataFrame) -> DataFrame:
-    """Every node with the bucket leader it shares most of the first bands
-    with: one pair per node at most."""
+def _leaders(nodes: DataFrame) -> DataFrame:
+    """(a, b, rank): each node b with the leaders of its buckets in the first
+    bands, those it shares most of them with first; FIRST_BANDS at most."""
     rows = nodes.select("node", "regs").mapInArrow(_bands(FIRST_BANDS), "key bigint, node bigint")
     lead = rows.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("most")).where("lead < most").select("key", "lead")
     votes = rows.join(lead, "key").where("node > lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy("node").agg(F.max(F.struct("n", -F.col("lead"))).alias("best"))
-    return best.select((-F.col("best")["col2"]).alias("a"), F.col("node").alias("b"))
+    rank = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("n"), "lead"))
+    return materialize(votes.select(F.col("lead").alias("a"), F.col("node").alias("b"), rank.alias("rank")), "near-leaders")
+
+
+def _contracted(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Verified links (u, v) that tie most of every large group together,
+    from a bounded number of comparisons per node."""
+    leaders, links, label, tried = _leaders(nodes), None, None, 0
+    for tries in TRIES:
+        pairs = leaders.where((F.col("rank") > tried) & (F.col("rank") <= tries)).select("a", "b")
+        if label is not None:  # not those that are already tied
+            side = lambda x: label.select(F.col("node").alias(x), F.col("component").alias(f"_{x}"))  # noqa: E731,B023
+            pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(
+                F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
+        found = materialize(_verified(materialize(pairs, "near-pairs"), nodes, docs), "near-links")
+        links = found if links is None else links.unionByName(found)
+        label, tried = components(links), tries
+    return links
 
 
 def _rest_pairs(nodes: DataFrame, label: DataFrame) -> DataFrame:
@@ -259,7 +282,7 @@ def _rest_pairs(nodes: DataFrame, label: DataFrame) -> DataFrame:
     units = units.join(known.select("node", "n", "regs"), "node")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = units.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.select("key", "i", "j", "blk", "node", "comp", "n", "regs").mapInArrow(_block_pairs, _PAIRS).distinct()
+    return dealt.select("key", "i", "j", "blk", "node", "comp", "n", "regs").mapInArrow(_block_pairs, _PAIRS)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -274,9 +297,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     classes = (rows.where("n > 0 and _id is not null").groupBy("d1", "d2", "n")
                .agg(F.min("_id").alias("rep"), F.first("regs").alias("regs")))
     nodes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
-    first = materialize(_verified(_first_pairs(nodes), nodes, texts), "near-links")
-    label = components(first)
-    rest = materialize(_rest_pairs(nodes, label), "near-pairs")
+    first = _contracted(nodes, texts)
+    rest = materialize(_rest_pairs(nodes, components(first)), "near-pairs")
     links = first.unionByName(_verified(rest, nodes, texts))
     label = components(links)
     named = nodes.select("node", "rep", "d1", "d2", "n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
