@@ -7,22 +7,24 @@ from pyspark.sql import functions as F
 
 from priceloom.functions.numerics import ColumnOrName, col
 
-# Accepted text layouts of a sales date (ISO first, then US).
-ISO_DATE = "yyyy-MM-dd"
-US_DATE = "MM/dd/yyyy"
+# Accepted text layouts of a sales date (ISO first, then US);
+# months and days may have one digit, and an ISO date a time behind it.
+ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?\s*$"
+US_DATE = "M/d/yyyy"
 
 
 def parse_iso_date(c: ColumnOrName) -> Column:
-    """``YYYY-MM-DD`` text -> DATE; anything else -> NULL."""
-    return F.try_to_date(col(c), ISO_DATE)
+    """``YYYY-MM-DD`` text, with or without a time -> DATE; anything else -> NULL."""
+    text = col(c).cast("string")
+    return F.when(text.rlike(ISO_DATE), F.trim(text).try_cast("date"))
 
 
 def parse_mixed_date(c: ColumnOrName, extra_formats: tuple[str, ...] = ()) -> Column:
-    """ISO or ``MM/DD/YYYY`` text -> DATE; unparseable -> NULL.
+    """ISO (see above) or ``MM/DD/YYYY`` text -> DATE; unparseable -> NULL.
 
     A column that is already DATE / TIMESTAMP passes through.
     """
-    parts = [F.try_to_date(col(c), ISO_DATE), F.try_to_date(col(c), US_DATE)]
+    parts = [parse_iso_date(c), F.try_to_date(F.trim(col(c).cast("string")), US_DATE)]
     parts += [F.try_to_date(col(c), f) for f in extra_formats]
     return F.coalesce(*parts)
 

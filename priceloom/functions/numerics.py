@@ -84,12 +84,12 @@ def guarded(value: Column, cond: Column, otherwise: float = 0.0) -> Column:
 
 
 def clip(c: ColumnOrName, lower: float | None = None, upper: float | None = None) -> Column:
-    """pandas ``clip``: bounds values, keeps NULL as NULL.
+    """pandas ``clip``: bounds values, keeps NULL as NULL; NaN is missing, so NULL.
 
     ``greatest(NULL, lo)`` returns ``lo`` in Spark, which would invent values
     for missing data, so this is spelled with ``when``.
     """
-    x = col(c)
+    x = F.nullif(col(c), F.lit(float("nan")))
     out = x
     if lower is not None:
         out = F.when(x < F.lit(lower), F.lit(lower)).otherwise(out)
@@ -98,6 +98,11 @@ def clip(c: ColumnOrName, lower: float | None = None, upper: float | None = None
     return out
 
 
+def strip(c: ColumnOrName) -> Column:
+    """Python ``str.strip`` on ASCII white space: tabs and newlines as well."""
+    return F.btrim(col(c), F.lit(" \t\n\x0b\x0c\r"))
+
+
 def is_true(cond: Column) -> Column:
     """NULL-safe truth test: a NULL comparison counts as False (pandas masks)."""
     return F.coalesce(cond, F.lit(False))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from priceloom.functions.dates import day_name, parse_iso_date, parse_mixed_date, year_month
-from priceloom.functions.numerics import clip, is_true, r, title_case
+from priceloom.functions.numerics import clip, is_true, r, strip, title_case
 
 INGEST_ORDER = "_ingest_order"
 COPIES = "_copies"
@@ -74,12 +74,13 @@ def duplicate_count(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def trim_strings(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.withColumns({c: F.trim(F.col(c)) for c in cols if c in df.columns})
+    return df.withColumns({c: strip(c) for c in cols if c in df.columns})
 
 
 def coerce_numeric(c: str, dtype: str = "double") -> Column:
-    """``pd.to_numeric(errors='coerce')``: malformed text becomes NULL."""
-    return F.expr(f"try_cast(`{c}` AS {dtype})")
+    """``pd.to_numeric(errors='coerce')``: malformed text becomes NULL, and so
+    does the text ``nan``, which a cast reads as a number above all others."""
+    return F.expr(f"nullif(try_cast(`{c}` AS {dtype}), CAST('NaN' AS {dtype}))")
 
 
 def _missing_region(c: Column) -> Column:
@@ -111,7 +112,7 @@ def clean_customers(raw: DataFrame) -> DataFrame:
 
 def standardize_category(c: Column) -> Column:
     """Trim, map the five known names case-insensitively, title-case the rest."""
-    t = F.trim(c)
+    t = strip(c)
     mapping = F.create_map(*[x for kv in CATEGORY_NAMES.items() for x in map(F.lit, kv)])
     return F.coalesce(F.element_at(mapping, F.lower(t)), title_case(t))
 
@@ -121,7 +122,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
     df = raw.drop(INGEST_ORDER) if INGEST_ORDER in raw.columns else raw
     upd = {"category": standardize_category(F.col("category"))}
     if "subcategory" in df.columns:
-        upd["subcategory"] = title_case(F.trim(F.col("subcategory")))
+        upd["subcategory"] = title_case(strip(F.col("subcategory")))
     for c in ("base_cost", "current_price", "competitor_price"):
         upd[c] = r(clip(coerce_numeric(c), lower=0.01))
     if "seasonality_factor" in df.columns:

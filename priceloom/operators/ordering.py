@@ -53,7 +53,12 @@ def row_number_within(df: DataFrame, group_cols: list[str], order: list[Column],
                             F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     local = F.row_number().over(Window.partitionBy(BLOCK, *group_cols).orderBy(*order))
     numbered = b.withColumn("_rn", local)
-    return (numbered.join(offsets, [BLOCK, *group_cols])
+    # null-safe: rows whose group is NULL are numbered as a group of their own
+    offsets = offsets.select(F.col(BLOCK).alias("_oblk"), "_off", *[F.col(c).alias(f"_o_{c}") for c in group_cols])
+    on = F.col(BLOCK) == F.col("_oblk")
+    for c in group_cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+    return (numbered.join(offsets, on).drop("_oblk", *[f"_o_{c}" for c in group_cols])
             .withColumn(out, (F.col("_off") + F.col("_rn")).cast("bigint"))
             .drop(BLOCK, "_rn", "_off"))
 
@@ -67,13 +72,14 @@ def cumulative_sum_desc(df: DataFrame, value_col: str, out: str, n_blocks: int |
     prefix runs over distinct values, and the result joins back on the value.
     """
     v = F.col(value_col)
-    by_value = df.groupBy(value_col).agg(F.sum(v).alias("_s"))
+    by_value = df.groupBy(value_col).agg(F.coalesce(F.sum(v), F.lit(0).cast("decimal(38,2)")).alias("_s"))
     b = _blocked(by_value, [v.desc()], n_blocks)
     totals = b.groupBy(BLOCK).agg(F.sum("_s").alias("_bs"))
     before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)  # one row per block
     offsets = totals.select(BLOCK, F.coalesce(F.sum("_bs").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(BLOCK).orderBy(v.desc()).rowsBetween(Window.unboundedPreceding, 0)
     cum = (b.withColumn("_run", F.sum("_s").over(inside))
-            .join(F.broadcast(offsets), BLOCK)  # one row per block: bounded
-            .select(v, (F.col("_off") + F.col("_run")).alias(out)))
-    return df.join(cum, value_col)
+            .join(offsets, BLOCK)  # one row per block
+            .select(v.alias("_cv"), (F.col("_off") + F.col("_run")).alias(out)))
+    # null-safe: rows without a value stay; they come last and add nothing
+    return df.join(cum, v.eqNullSafe(F.col("_cv"))).drop("_cv")

@@ -58,16 +58,18 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def configure_for_scale(spark: SparkSession, fact_bytes: int,
                         target_partition_bytes: int = 256 * 1024 ** 2,
-                        max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+                        max_shuffle_partitions: int | None = None) -> dict[str, str]:
     """Size scan and shuffle partitions for a fact table of ``fact_bytes``.
 
     Scan splits and AQE's advisory shuffle size are set to the target; the
     initial shuffle partition count is the fact size over the target
-    (capped), and AQE coalesces down from it and splits skewed partitions
+    (no ceiling unless the caller gives one), and AQE coalesces down from it and splits skewed partitions
     above it.  ``parallelismFirst=false`` makes coalescing honour the target
     size instead of maximising task count.  Returns the settings applied.
     """
-    parts = max(200, min(max_shuffle_partitions, -(-fact_bytes // target_partition_bytes)))
+    parts = max(200, -(-fact_bytes // target_partition_bytes))
+    if max_shuffle_partitions is not None:
+        parts = min(parts, max_shuffle_partitions)
     conf = {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(parts),
