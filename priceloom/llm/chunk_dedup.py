@@ -118,6 +118,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``first_doc_id`` is the smallest id of a document that shares the
     passage's beginning.
 
+    A passage is found by chunks equal in their bytes (blanks included).
     ``start_word`` counts from 0.  Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z
     lower-cased.  Null, empty and short texts have none.  Rows with a null id
     are left out; repeated rows of one id are one document.  An empty table

@@ -7,7 +7,7 @@ characters; three statistics are compared with what ordinary text of that
 length gives in that encoding:
 
 * chi-squared of the character counts against a uniform alphabet,
-* the number of runs of one character class (lower, upper, digit, other),
+* the number of runs of one character class (lower, upper, digit),
 * the lag-1 serial correlation of the class sequence.
 
 Random strings lie far below ordinary text in all three.  The combined
@@ -110,30 +110,30 @@ def _sum(values: Column) -> Column:
 
 def _scored(tokens: Column) -> Column:
     """Adds z to each token: how far below ordinary text its statistics lie."""
-    sub = lambda a, k: F.slice(a, F.lit(k), F.size(a) - 1)
+    sub = lambda a, k: F.slice(a, F.lit(k), F.greatest(F.size(a) - 1, F.lit(0)))
     tokens = F.transform(tokens, lambda t: F.struct(t["s"].alias("s"), t["e"].alias("e"), t["m"].alias("m"),
                                                     F.length(t["m"]).cast("double").alias("n"), _encoding(t["m"]).alias("enc"),
                                                     F.split(t["m"], "(?!^)").alias("ch")))
     tokens = F.transform(tokens, lambda t: F.struct(
         t["s"].alias("s"), t["e"].alias("e"), t["n"].alias("n"),
         *[_background(t["enc"], k).alias(x) for k, x in enumerate(("size", "excess", "tau", "rho"))],
-        F.transform(t["ch"], _class).alias("cl"),
+        F.filter(F.transform(t["ch"], _class), lambda c: c < 3).alias("cl"),  # separators are no class of their own
         F.aggregate(F.array_distinct(t["ch"]), F.lit(0.0),
                     lambda acc, c: acc + F.pow(t["n"] - F.length(F.replace(t["m"], c, F.lit(""))), F.lit(2.0))).alias("squares")))
     tokens = F.transform(tokens, lambda t: F.struct(
-        *[t[x].alias(x) for x in ("s", "e", "n", "size", "excess", "tau", "rho", "squares")], (_sum(t["cl"]) / t["n"]).alias("mean"),
+        *[t[x].alias(x) for x in ("s", "e", "n", "size", "excess", "tau", "rho", "squares")], (_sum(t["cl"]) / F.greatest(F.size(t["cl"]), F.lit(1))).alias("mean"),
+        F.greatest(F.size(t["cl"]) - 1, F.lit(1)).cast("double").alias("pairs"),
         sub(t["cl"], 1).alias("head"), sub(t["cl"], 2).alias("tail"), t["cl"].alias("cl")))
     tokens = F.transform(tokens, lambda t: F.struct(
-        *[t[x].alias(x) for x in ("s", "e", "n", "tau", "rho")],
+        *[t[x].alias(x) for x in ("s", "e", "n", "tau", "rho", "pairs")],
         ((t["squares"] * t["size"] / t["n"] - t["n"] - (t["size"] - 1 + t["n"] * t["excess"]))
          / F.sqrt(2 * (t["size"] - 1) + 4 * t["n"] * t["excess"])).alias("z_chi"),
         _sum(F.zip_with(t["head"], t["tail"], lambda a, b: F.when(a == b, 0.0).otherwise(1.0))).alias("changes"),
-        (_sum(F.transform(t["cl"], lambda a: F.pow(a - t["mean"], F.lit(2.0)))) / t["n"]).alias("var"),
-        (_sum(F.zip_with(t["head"], t["tail"], lambda a, b: (a - t["mean"]) * (b - t["mean"]))) / (t["n"] - 1)).alias("cov")))
+        (_sum(F.transform(t["cl"], lambda a: F.pow(a - t["mean"], F.lit(2.0)))) / (t["pairs"] + 1)).alias("var"),
+        (_sum(F.zip_with(t["head"], t["tail"], lambda a, b: (a - t["mean"]) * (b - t["mean"]))) / t["pairs"]).alias("cov")))
 
     def z(t: Column) -> Column:
-        pairs = t["n"] - 1
-        runs = (pairs * t["tau"] - t["changes"]) / F.sqrt(pairs * t["tau"] * (1 - t["tau"]))
+        runs = (t["pairs"] * t["tau"] - t["changes"]) / F.sqrt(t["pairs"] * t["tau"] * (1 - t["tau"]))
         corr = F.when(t["var"] > 0, t["cov"] / t["var"]).otherwise(1.0)  # one class only: as ordered as can be
         return (t["z_chi"] + runs + (corr - t["rho"]) * F.sqrt(t["n"])) / math.sqrt(3.0)
 
