@@ -12,9 +12,12 @@
    bounded number per node, are verified and contract large groups first.
 4. All bands then: only buckets that still hold more than one component are
    looked at.  A bucket is cut into blocks; each pair of blocks is one unit
-   of work, so no bucket is ever gathered in a task.  Pairs of different
-   components are estimated jointly from both sketches by likelihood, and
-   those that may reach the threshold are verified on the full sets.
+   of work, so no bucket is ever gathered in a task.  Of the pairs of
+   different components, those go whose parity bits differ in more places
+   than a pair at the threshold has elements in one set only (no link is
+   lost by that).  The others are estimated jointly from both sketches by
+   likelihood, and those that may reach the threshold are verified on the
+   full sets.
 
 A pair at the very threshold shares no band with a chance of about 1e-6,
 and falls to the likelihood test with less.
@@ -42,6 +45,7 @@ BAND, BANDS, FIRST_BANDS = 6, 96, 16
 BLOCK = 1024  # members of a bucket compared at once
 FEW = 90  # agreeing registers: with fewer the likelihood test drops a pair in any case
 TRIES = (1, 4, FIRST_BANDS)  # leaders a node is compared with, by the end of each contraction round
+PARITY_BITS = 2048
 DOUBT = 20.0  # log-likelihood by which "below the threshold" must win to drop a pair
 
 _RNG = np.random.default_rng(20)
@@ -88,13 +92,30 @@ def sketch(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.clip(k, 0, 65535).astype(np.uint16)
 
 
+def parities(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Packed bits (sets x PARITY_BITS / 8): each element flips one bit.  Two
+    sets' bits differ in at most as many places as there are elements that
+    only one of them has."""
+    n = len(ends) - 1
+    bit = (mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(PARITY_BITS)).astype(np.int64)
+    owner = np.repeat(np.arange(n, dtype=np.int64), np.diff(ends))
+    flips = np.bincount(owner * PARITY_BITS + bit, minlength=n * PARITY_BITS)
+    return np.packbits((flips & 1).astype(np.uint8).reshape(n, PARITY_BITS), axis=1)
+
+
+def within_bound(p1: np.ndarray, p2: np.ndarray, n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
+    """False only for pairs that have too many elements of one set only."""
+    apart = np.bitwise_count(p1 ^ p2).sum(axis=1, dtype=np.int64)
+    return (100 + PERCENT) * apart <= (100 - PERCENT) * (n1 + n2)
+
+
 def _digests(h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     a = np.add.reduceat(mix(h), ends[:-1])
     b = np.add.reduceat(mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)) * (h | np.uint64(1)), ends[:-1])
     return mix(a).view(np.int64), mix(b).view(np.int64)
 
 
-_SKETCHES = "_id bigint, n bigint, d1 bigint, d2 bigint, regs binary"
+_SKETCHES = "_id bigint, n bigint, d1 bigint, d2 bigint, regs binary, odd binary"
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,13 +125,14 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         full = np.flatnonzero(n)
         d1, d2 = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
         regs: list = [None] * len(n)
+        odd: list = [None] * len(n)
         if len(full):
             at = np.concatenate([ends[:-1][full], ends[-1:]])
             d1[full], d2[full] = _digests(h, at)
-            for i, row in zip(full, sketch(h, at)):
-                regs[i] = row.tobytes()
-        yield pa.RecordBatch.from_arrays([part["_id"], pa.array(n), pa.array(d1), pa.array(d2), pa.array(regs, pa.binary())],
-                                         ["_id", "n", "d1", "d2", "regs"])
+            for i, row, bits in zip(full, sketch(h, at), parities(h, at)):
+                regs[i], odd[i] = row.tobytes(), bits.tobytes()
+        yield pa.RecordBatch.from_arrays([part["_id"], pa.array(n), pa.array(d1), pa.array(d2), pa.array(regs, pa.binary()),
+                                          pa.array(odd, pa.binary())], ["_id", "n", "d1", "d2", "regs", "odd"])
 
 
 def _registers(column: pa.Array) -> np.ndarray:
@@ -178,6 +200,7 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(key)]])
         node, comp, n, blk = (t[x].to_numpy() for x in ("node", "comp", "n", "blk"))
         regs = np.frombuffer(b"".join(t["regs"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        odd = np.frombuffer(b"".join(t["odd"].to_pylist()), np.uint64).reshape(-1, PARITY_BITS // 64)
         left, right = [], []
         for a, b in zip(cuts[:-1], cuts[1:]):
             x, y = np.triu_indices(b - a, 1)
@@ -190,6 +213,8 @@ def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x, y = np.concatenate(left), np.concatenate(right)
         for at in range(0, len(x), 20000):
             p, q = x[at:at + 20000], y[at:at + 20000]
+            near = within_bound(odd[p], odd[q], n[p], n[q])
+            p, q = p[near], q[near]
             ok = np.flatnonzero(may_reach(regs[p], regs[q], n[p], n[q]))
             # a pair meets in every bucket it shares: only the first band's passes it on
             same = regs[p[ok]] == regs[q[ok]]
@@ -270,8 +295,8 @@ def _contracted(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 def _rest_pairs(nodes: DataFrame, label: DataFrame) -> DataFrame:
     """Pairs of different components that share any band and may reach the threshold."""
     spark = nodes.sparkSession
-    known = nodes.select("node", "n", "regs").join(label, "node", "left").select(
-        "node", "n", "regs", F.coalesce("component", "node").alias("comp"))
+    known = nodes.select("node", "n", "regs", "odd").join(label, "node", "left").select(
+        "node", "n", "regs", "odd", F.coalesce("component", "node").alias("comp"))
     rows = known.select("node", "comp", "regs").mapInArrow(_bands(BANDS), "key bigint, node bigint, comp bigint")
     mixed = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
              .where("lo != hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
@@ -279,10 +304,10 @@ def _rest_pairs(nodes: DataFrame, label: DataFrame) -> DataFrame:
     own = members.withColumn("blk", F.pmod(F.xxhash64("node", "key"), F.col("blocks").cast("bigint")).cast("int"))
     units = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = units.select("key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp")
-    units = units.join(known.select("node", "n", "regs"), "node")
+    units = units.join(known.select("node", "n", "regs", "odd"), "node")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = units.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.select("key", "i", "j", "blk", "node", "comp", "n", "regs").mapInArrow(_block_pairs, _PAIRS)
+    return dealt.select("key", "i", "j", "blk", "node", "comp", "n", "regs", "odd").mapInArrow(_block_pairs, _PAIRS)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -295,7 +320,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = documents(docs, id_col, text_col)
     rows = materialize(texts.mapInArrow(_sketch_batches, _SKETCHES), "near-sketches")
     classes = (rows.where("n > 0 and _id is not null").groupBy("d1", "d2", "n")
-               .agg(F.min("_id").alias("rep"), F.first("regs").alias("regs")))
+               .agg(F.min("_id").alias("rep"), F.first("regs").alias("regs"), F.first("odd").alias("odd")))
     nodes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     first = _contracted(nodes, texts)
     rest = materialize(_rest_pairs(nodes, components(first)), "near-pairs")

@@ -69,6 +69,24 @@ def test_near_dedup(docs, rows):
     assert near_dedup(docs.limit(0)).count() == 0
 
 
+def test_parity_bits_bound_what_only_one_set_has():
+    from priceloom.llm.minhash_dedup import parities, within_bound
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 3000, rng.integers(1, 3000)).astype(np.uint64)) for _ in range(40)]
+    sets += [np.unique(np.concatenate([s[:len(s) - len(s) // 8], s[:len(s) // 8] + np.uint64(5000)])) for s in sets]
+    bits = parities(np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])]))
+    words = bits.view(np.uint64)
+    dropped = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            common = len(np.intersect1d(a, b, assume_unique=True))
+            assert np.bitwise_count(words[i] ^ words[j]).sum() <= len(a) + len(b) - 2 * common
+            stays = within_bound(words[[i]], words[[j]], np.array([len(a)]), np.array([len(b)]))[0]
+            assert stays or 100 * common < 75 * (len(a) + len(b) - common)
+            dropped += not stays
+    assert dropped > 1000
+
+
 def test_components(spark):
     from priceloom.llm.components import components
     edges = [(k, k + 1) for k in range(30)] + [(100, 103), (101, 103)] + [(200, k) for k in range(201, 230)]
