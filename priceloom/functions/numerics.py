@@ -157,3 +157,13 @@ def erfc_py(z: float) -> float:
 def two_sided_p(t_stat: ColumnOrName) -> Column:
     """Normal two-sided p-value ``erfc(|t| / sqrt 2)``."""
     return erfc_nonneg(F.abs(col(t_stat)) / F.lit(math.sqrt(2.0)))
+
+
+def portfolio_sum(value: Column) -> Column:
+    """Sum of one-row-per-product amounts as DOUBLE: whole cents are added
+    exactly, in any order; amounts beyond DECIMAL(18,2), which an extreme
+    fit can give, are added as DOUBLE instead of failing the report."""
+    cents = value.try_cast("decimal(18,2)")
+    beyond = F.sum(F.when(cents.isNull(), value))
+    exact = F.sum(cents).cast("double")
+    return F.when(exact.isNull(), beyond).otherwise(exact + F.coalesce(beyond, F.lit(0.0)))

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from priceloom.functions.numerics import r, safe_div
+from priceloom.functions.numerics import portfolio_sum, r, safe_div
 from priceloom.operators.metrics import dbl, facts
 
 DEFAULT_CROSS = 0.3
@@ -191,7 +191,7 @@ def simulate_scenarios(scenarios: DataFrame, fits: DataFrame, sales: DataFrame,
 def optimization_summary(opt: DataFrame) -> DataFrame:
     """Portfolio totals of current and optimal revenue / profit."""
     def s(c: str) -> Column:
-        return F.sum(F.col(c).cast("decimal(18,2)"))
+        return portfolio_sum(F.col(c))
     g = opt.agg(
         F.count("product_id").alias("products_optimized"),
         s("current_annual_revenue").alias("cr"), s("rev_max_expected_revenue").alias("orv"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from priceloom.functions.numerics import r, safe_div
+from priceloom.functions.numerics import portfolio_sum, r, safe_div
 from priceloom.operators.optimizer import simulate_scenarios
 
 # Action, priority and quadrant labels.
@@ -145,8 +145,7 @@ def action_counts(recs: DataFrame) -> DataFrame:
 
 def impact_totals(recs: DataFrame) -> DataFrame:
     """Net expected profit and revenue impact."""
-    g = recs.agg(F.sum(F.col("expected_profit_impact").cast("decimal(18,2)")).alias("p"),
-                 F.sum(F.col("expected_revenue_impact").cast("decimal(18,2)")).alias("v"),
+    g = recs.agg(portfolio_sum(F.col("expected_profit_impact")).alias("p"),
+                 portfolio_sum(F.col("expected_revenue_impact")).alias("v"),
                  F.count(F.lit(1)).alias("products"))
-    return g.select("products", F.col("p").cast("double").alias("total_profit_impact"),
-                    F.col("v").cast("double").alias("total_revenue_impact"))
+    return g.select("products", F.col("p").alias("total_profit_impact"), F.col("v").alias("total_revenue_impact"))

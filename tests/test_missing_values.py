@@ -5,9 +5,11 @@ import datetime
 from pyspark.sql import functions as F
 
 from priceloom.functions.dates import parse_iso_date, parse_mixed_date
-from priceloom.functions.numerics import clip, strip
+from priceloom.functions.numerics import clip, portfolio_sum, strip
 from priceloom.operators.cleaning import coerce_numeric
+from priceloom.operators.optimizer import optimization_summary
 from priceloom.operators.ordering import cumulative_sum_desc, row_number_within
+from priceloom.operators.recommend import impact_totals
 from priceloom.session import configure_for_scale
 
 
@@ -42,3 +44,16 @@ def test_dates_and_blanks(spark):
 def test_partitions_have_no_ceiling(spark):
     conf = configure_for_scale(spark.newSession(), 100 * 1024 ** 4)
     assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 4096
+
+
+def test_one_extreme_fit_does_not_stop_the_portfolio_reports(spark):
+    total = lambda *v: spark.createDataFrame([(x,) for x in v], "v double").agg(portfolio_sum(F.col("v"))).first()[0]
+    assert total(0.1, 0.2, None) == 0.3 and total(8.7e42, 1.0) == 8.7e42 and total(8.7e42) == 8.7e42 and total(None) is None
+    cols = ["current_annual_revenue", "rev_max_expected_revenue", "rev_max_revenue_upside", "current_annual_profit",
+            "profit_max_expected_profit", "profit_max_profit_upside"]
+    opt = spark.createDataFrame([(1, *[100.0] * 6), (2, 100.0, 8.7e42, 8.7e42, 100.0, 8.7e42, 8.7e42)],
+                                "product_id int, " + ", ".join(f"{c} double" for c in cols))
+    got = optimization_summary(opt).first()
+    assert got.baseline_annual_revenue == 200.0 and got.optimal_annual_revenue == 8.7e42 and got.products_optimized == 2
+    recs = spark.createDataFrame([(1.25, 8.7e42), (2.5, 1.0)], "expected_profit_impact double, expected_revenue_impact double")
+    assert tuple(impact_totals(recs).first()) == (2, 3.75, 8.7e42)
