@@ -277,19 +277,18 @@ def _leaders(nodes: DataFrame) -> DataFrame:
 
 
 def _contracted(nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Verified links (u, v) that tie most of every large group together,
-    from a bounded number of comparisons per node."""
-    leaders, links, label, tried = _leaders(nodes), None, None, 0
+    """(node, component) by verified links that tie most of every large group
+    together, from a bounded number of comparisons per node."""
+    leaders, label, tried = _leaders(nodes), None, 0
     for tries in TRIES:
         pairs = leaders.where((F.col("rank") > tried) & (F.col("rank") <= tries)).select("a", "b")
         if label is not None:  # not those that are already tied
             side = lambda x: label.select(F.col("node").alias(x), F.col("component").alias(f"_{x}"))  # noqa: E731,B023
             pairs = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left").where(
                 F.coalesce("_a", "a") != F.coalesce("_b", "b")).select("a", "b")
-        found = materialize(_verified(materialize(pairs, "near-pairs"), nodes, docs), "near-links")
-        links = found if links is None else links.unionByName(found)
-        label, tried = components(links), tries
-    return links
+        links = materialize(_verified(materialize(pairs, "near-pairs"), nodes, docs), "near-links")
+        label, tried = materialize(components(links, label), "near-label"), tries
+    return label
 
 
 def _rest_pairs(nodes: DataFrame, label: DataFrame) -> DataFrame:
@@ -323,9 +322,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                .agg(F.min("_id").alias("rep"), F.first("regs").alias("regs"), F.first("odd").alias("odd")))
     nodes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     first = _contracted(nodes, texts)
-    rest = materialize(_rest_pairs(nodes, components(first)), "near-pairs")
-    links = first.unionByName(_verified(rest, nodes, texts))
-    label = components(links)
+    rest = materialize(_rest_pairs(nodes, first), "near-pairs")
+    label = components(materialize(_verified(rest, nodes, texts), "near-links"), first)
     named = nodes.select("node", "rep", "d1", "d2", "n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "component").select("d1", "d2", "n", "component_id")

@@ -91,7 +91,16 @@ def test_components(spark):
     from priceloom.llm.components import components
     edges = [(k, k + 1) for k in range(30)] + [(100, 103), (101, 103)] + [(200, k) for k in range(201, 230)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
-    assert got == {k: 0 for k in range(31)} | {100: 100, 101: 100, 103: 100} | {k: 200 for k in range(200, 230)}
+    want = {k: 0 for k in range(31)} | {100: 100, 101: 100, 103: 100} | {k: 200 for k in range(200, 230)}
+    assert got == want
+    table = lambda e: spark.createDataFrame(e, "u bigint, v bigint")
+    rnd = random.Random(2)
+    for _ in range(3):  # in parts, each on top of what is known
+        mixed = rnd.sample(edges, len(edges)) + [(7, 7)]
+        label = components(table(mixed[20:]), components(table(mixed[10:20]), components(table(mixed[:10]))))
+        assert sorted((r.node, r.component) for r in label.collect()) == sorted(want.items())
+    assert components(table([]), components(table(edges))).count() == len(want)
+    assert components(table([])).count() == 0
 
 
 def test_codecs_are_those_of_the_libraries(docs, rows):
