@@ -325,7 +325,8 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rest = materialize(_rest_pairs(nodes, first), "near-pairs")
     label = components(materialize(_verified(rest, nodes, texts), "near-links"), first)
     named = nodes.select("node", "rep", "d1", "d2", "n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    # written, so that the join is one of two plain shuffles, whose hot component adaptive execution splits
+    least = materialize(named.groupBy("component").agg(F.min("rep").alias("component_id")), "near-least")
     named = named.join(least, "component").select("d1", "d2", "n", "component_id")
     out = rows.where("n > 0 and _id is not null").select("_id", "n", "d1", "d2").join(named, ["d1", "d2", "n"]).select("_id", "n", "component_id")
     alone = rows.where("n = 0 or _id is null").select("_id", "n", F.col("_id").alias("component_id"))
