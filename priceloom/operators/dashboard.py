@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from priceloom.functions.numerics import r, safe_div
+from priceloom.operators.cleaning import GUEST_CUSTOMER
 from priceloom.operators.metrics import dbl, facts, refacts
 from priceloom.operators.reports import GUEST_SEGMENT, product_performance
 
@@ -30,8 +31,14 @@ def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
     on distinct values -- nothing is collected.  ``None`` disables a filter.
     """
     s = sales.join(products.select("product_id", "category"), "product_id", "left")
-    s = s.join(customers.select("customer_id", "customer_segment"), "customer_id", "left")
-    s = s.withColumn("customer_segment", F.coalesce(F.col("customer_segment"), F.lit(GUEST_SEGMENT)))
+    people = customers.select("customer_id", "customer_segment")
+    if segments == KNOWN:
+        # guests have no customer row: they go before the shuffle, where their key would be a hot one
+        s = s.filter(F.col("customer_id") != GUEST_CUSTOMER).join(
+            people.filter(F.col("customer_segment").isNotNull()), "customer_id")
+    else:
+        s = s.join(people, "customer_id", "left").withColumn(
+            "customer_segment", F.coalesce(F.col("customer_segment"), F.lit(GUEST_SEGMENT)))
     if start is not None:
         s = s.filter(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
@@ -44,10 +51,7 @@ def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
         s = s.filter(F.col("region").isNotNull())
     elif regions is not None:
         s = s.filter(F.col("region").isin(list(regions)))
-    if segments == KNOWN:
-        known = customers.select("customer_segment").distinct()
-        s = s.join(known, "customer_segment", "left_semi")
-    elif segments is not None:
+    if segments not in (KNOWN, None):
         s = s.filter(F.col("customer_segment").isin(list(segments)))
     return s
 

@@ -16,6 +16,22 @@ def test_missing_columns_raise_keyerror(spark):
     assert "Available columns" in str(e.value)
 
 
+def test_guards_hold_with_the_joined_column_present(spark):
+    sales = spark.createDataFrame([("T1", "P1", "C1", 1, 2.0, 1.0, "Cat", "Seg", "North")],
+                                  "transaction_id string, product_id string, customer_id string, quantity int, revenue double, "
+                                  "profit double, category string, customer_segment string, region string")
+    with pytest.raises(KeyError, match="cost"):
+        RP.category_summary(sales, None)
+    with pytest.raises(KeyError, match="discount"):
+        RP.customer_segment_analysis(sales, None)
+    with pytest.raises(KeyError, match="customer_id"):
+        RP.customer_segment_analysis(sales.drop("customer_id"), None)
+    with pytest.raises(KeyError, match="customer_segment.*df_customers"):
+        RP.customer_segment_analysis(sales.drop("customer_segment").selectExpr("*", "0.1 AS discount"), sales.select("customer_id"))
+    with pytest.raises(KeyError, match="revenue"):
+        RP.regional_breakdown(sales.drop("revenue"))
+
+
 def test_existing_category_column_no_suffixes(small_tables):
     t = small_tables
     pre = t.sales.join(t.products.select("product_id", "category"), "product_id", "left")

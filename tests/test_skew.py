@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from priceloom.operators import cleaning as C
+from priceloom.operators import dashboard as D
+from priceloom.operators import reports as RP
 from priceloom.operators import reports_sql as Q
 
 
@@ -41,3 +43,23 @@ def test_pareto_with_a_hot_revenue_value(spark):
     assert len(set(tie)) == 1
     assert tie[0] == sum(5.0 if i % 3 == 0 else float(i) for i in range(300) if (5.0 if i % 3 == 0 else i) >= 5.0)
     assert max(r.cumulative_revenue for r in out.values()) == total
+
+
+def test_filtered_segment_report_with_many_guests(spark):
+    # 40% guests: with the default filters they go below the join, not after it.
+    n = 5000
+    sales = spark.range(n).select(
+        F.concat(F.lit("T"), "id").alias("transaction_id"), (F.col("id") % 50).alias("product_id"),
+        F.when(F.col("id") % 5 < 2, "CUST-GUEST").otherwise(F.concat(F.lit("C"), F.col("id") % 70)).alias("customer_id"),
+        F.lit("North").alias("region"), F.lit("2000-01-01").cast("date").alias("date"), F.lit(1).alias("quantity"),
+        F.lit(10.0).alias("revenue"), F.lit(4.0).alias("profit"), F.lit(0.1).alias("discount"))
+    products = spark.range(50).select(F.col("id").alias("product_id"), F.lit("Cat").alias("category"))
+    customers = spark.range(70).select(F.concat(F.lit("C"), "id").alias("customer_id"), F.lit("Seg").alias("customer_segment"))
+    kept = RP.customer_segment_analysis(D.filter_sales(sales, products, customers, segments=None), customers)
+    assert {r.customer_segment: r.total_orders for r in kept.collect()} == {"Guest Shoppers": n * 2 // 5, "Seg": n * 3 // 5}
+    filtered = D.filter_sales(sales, products, customers)
+    known = RP.customer_segment_analysis(filtered, customers)
+    assert {r.customer_segment: r.total_orders for r in known.collect()} == {"Seg": n * 3 // 5}
+    plan = filtered._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined = next(i for i, line in enumerate(plan) if "Join Inner" in line and "customer_id" in line)
+    assert any("CUST-GUEST" in line for line in plan[joined + 1:])
