@@ -8,9 +8,8 @@ across all documents; stretches of repeated pairs are repeats.
 
 Boundaries cost a passage its two edges, and neighbouring repeats can stem
 from different documents, so stretches of ``SEED_WORDS`` words or more are
-settled exactly: the windows of ``PASSAGE_WORDS`` words that hold a repeated
-pair (of stretches over ``LONG_WORDS`` words those that begin at a chunk) are
-digested and compared across documents.
+settled exactly: all windows of ``PASSAGE_WORDS`` words that hold a repeated
+pair are digested and compared across documents.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from priceloom.llm.common import _piece_words, documents, materialize, mix, text
 
 PASSAGE_WORDS = 51  # "over 50 words"
 SEED_WORDS = 6
-LONG_WORDS = 150
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(0xFFFF)).astype(np.uint16)
 _MASK = np.uint16(0xF800)
 _PLACES = mix(np.arange(1, PASSAGE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -103,8 +101,6 @@ def _stretch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 if w1 - w0 < SEED_WORDS or hi < lo:
                     continue
                 place = np.arange(lo, hi + 1)
-                if w1 - w0 >= LONG_WORDS:  # a long repeat shows at its chunks' starts as well
-                    place = at[a:b][at[a:b] <= hi]
                 sums = mix(sum(h[place + k] * _PLACES[k] for k in range(PASSAGE_WORDS)))
                 for x, v in zip(out, (part["_id"][i].as_py(), place.tolist(), sums.view(np.int64).tolist())):
                     x.append(v)

@@ -184,6 +184,19 @@ def test_passages(docs):
     assert repeated_passages(docs.limit(0)).count() == 0
 
 
+def test_short_passages_inside_copied_documents(spark):
+    from priceloom.llm.chunk_dedup import repeated_passages
+    rnd = random.Random(8)
+    fresh = lambda n: ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 9))) for _ in range(n)]
+    data = []
+    for k in range(0, 120, 3):  # two copies, and one other document that has 51 words of them
+        passage = fresh(51)
+        copied = fresh(100) + passage + fresh(100)
+        data += [(k, " ".join(copied)), (k + 1, " ".join(copied)), (k + 2, " ".join(fresh(40) + passage + fresh(40)))]
+    got = sorted(tuple(r) for r in repeated_passages(spark.createDataFrame(data, "doc_id bigint, text string")).collect())
+    assert got == [row for k in range(0, 120, 3) for row in ((k, 0, 251, k), (k + 1, 0, 251, k), (k + 2, 40, 51, k))]
+
+
 def test_language_and_toxicity_on_held_out_rows(spark):
     from priceloom.llm.language import identify
     from priceloom.llm.toxicity import score, train
