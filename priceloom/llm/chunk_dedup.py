@@ -1,15 +1,15 @@
-"""Passages that repeat across documents, by content-defined chunking.
-
-A gear rolling hash over a text's bytes sets a chunk boundary wherever five
-of its bits are zero; they depend on the last sixteen bytes only, so equal
-passages get equal chunks from their first boundary on, whatever was inserted
-before them.  The digest of each pair of neighbouring chunks is compared
-across all documents; stretches of repeated pairs are repeats.
-
-Boundaries cost a passage its two edges, and neighbouring repeats can stem
-from different documents, so stretches of ``SEED_WORDS`` words or more are
-settled exactly: all windows of ``PASSAGE_WORDS`` words that hold a repeated
-pair are digested and compared across documents.
+"""Passages that repeat across documents, by content-defined seeds.
+
+A gear hash rolls over the words: the hash of ``SEED_WORDS`` words in a row
+depends on them and on the gaps between them alone.  Of the seeds inside each
+window of ``PASSAGE_WORDS`` words the one with the smallest hash is chosen (the
+last of equal ones), so a window always has one, however uniform its text, and
+equal windows choose the same.  A text's chosen seeds, about one in 17 words,
+are compared across all different texts.
+
+The windows whose seed is shared are digested, every one, and compared across
+documents.  Equal texts are read once, as the one of the smallest id; they
+repeat as a whole.
 """
 
 from __future__ import annotations
@@ -25,87 +25,75 @@ from priceloom.llm.common import _piece_words, documents, materialize, mix, text
 
 PASSAGE_WORDS = 51  # "over 50 words"
 SEED_WORDS = 6
-_GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(0xFFFF)).astype(np.uint16)
-_MASK = np.uint16(0xF800)
 _PLACES = mix(np.arange(1, PASSAGE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
+_LAST = np.uint64(0xFFFFFFFF)
 
 
-def boundaries(data: np.ndarray) -> np.ndarray:
-    """Where chunks start after the first byte.  The rolling hash
-    h = (h << 1) + gear[byte] in 16 bits is a sum over the last 16 bytes,
-    made by doubling."""
-    h = _GEAR[data]
-    for k in (1, 2, 4, 8):
-        more = np.zeros_like(h)
-        more[k:] = h[:-k] << np.uint16(k)
-        h = h + more
-    return np.flatnonzero((h & _MASK) == 0) + 1
-
-
-def _layout(text: pa.LargeStringArray):
-    """Per text: its words' hashes, and the words at which chunks start (a
-    chunk is whole words: its boundary moves on to the next one)."""
+def _words(text: pa.LargeStringArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per text: its words' hashes, and from each word's start to the next's."""
     data, bounds = text_bytes(text)
     for i in range(len(text)):
         d = data[bounds[i]:bounds[i + 1]]
         if not len(d):
-            yield np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            yield np.zeros(0, np.uint64), np.zeros(0, np.uint64)
             continue
         first = np.zeros(len(d) + 1, bool)
         first[0] = True
         hashes, starts = _piece_words(d, first)
-        cut = boundaries(d)
-        at = np.unique(np.searchsorted(starts, cut[cut < len(d)]))
-        at = np.concatenate([[0], at[(at > 0) & (at < len(starts))]]) if len(starts) else np.zeros(0, np.int64)
-        yield hashes, at
-
-
-def _sums(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Digest of each pair of neighbouring chunks (lists of words)."""
-    if len(at) < 2:
-        return np.zeros(0, np.int64)
-    ends = np.concatenate([at[1:], [len(hashes)]])
-    place = np.arange(len(hashes)) - np.repeat(at, ends - at)
-    chunk = mix(np.add.reduceat(hashes * mix(place.astype(np.uint64) + np.uint64(7)), at) + (ends - at).astype(np.uint64))
-    return mix(chunk[:-1] * np.uint64(0xD1342543DE82EF95) + chunk[1:]).view(np.int64)
-
-
-def _pair_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield hashes, np.diff(starts).astype(np.uint64)
+
+
+def _chosen(hashes: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The digest of the seed at each word, and the word of each window's seed."""
+    if len(hashes) < PASSAGE_WORDS:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    n = len(hashes) - SEED_WORDS + 1
+    inner = hashes[:-1] + steps
+    seeds = mix(sum(inner[k:k + n] * _PLACES[k] for k in range(SEED_WORDS - 1)) + hashes[SEED_WORDS - 1:] * _PLACES[SEED_WORDS - 1])
+    # the smallest of each span, by doubling; its place from the end is in the lower half
+    least = (seeds & ~_LAST) | (_LAST - np.arange(n, dtype=np.uint64))
+    span, whole = 1, PASSAGE_WORDS - SEED_WORDS + 1
+    while span < whole:
+        more = min(span, whole - span)
+        least, span = np.minimum(least[:-more], least[more:]), span + more
+    return seeds, (_LAST - (least & _LAST)).astype(np.int64)
+
+
+def _seed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in text_slices(batches):
-        found = [_sums(h, at) for h, at in _layout(part["_text"])]
-        n = [len(x) for x in found]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), part["_id"].take(pa.array(np.repeat(np.arange(len(n)), n))),
-                                          pa.array(np.concatenate([np.arange(k) for k in n]).astype(np.int32))], ["digest", "_id", "k"])
-
-
-def _stretches(marks: np.ndarray) -> list[tuple[int, int]]:
-    """Runs [a, b) of chunks covered by repeated pairs k (chunks k, k + 1)."""
-    marks = np.unique(marks)
-    cuts = np.flatnonzero(np.diff(marks) > 1) + 1
-    return [(int(x[0]), int(x[-1]) + 2) for x in np.split(marks, cuts)]
+        found = []
+        for h, steps in _words(part["_text"]):
+            seeds, at = _chosen(h, steps)
+            found.append(seeds[np.unique(at)].view(np.int64))
+        owner = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), part["_id"].take(owner), part["_same"].take(owner)],
+                                         ["digest", "_id", "_same"])
 
 
-_FOUND = "_id bigint, places array<int>, windows array<bigint>"
+_FOUND = "_id bigint, _same bigint, several boolean, n_words int, place int, windows array<bigint>"
 
 
-def _stretch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per run of windows whose seed is shared; a row without windows for each text."""
     for part in text_slices(batches):
-        out: list[list] = [[] for _ in range(3)]
-        for i, (h, at) in enumerate(_layout(part["_text"])):
-            ends = np.concatenate([at[1:], [len(h)]])
-            marks = part["marks"][i].values.to_numpy(zero_copy_only=False)
-            for a, b in _stretches(marks[marks < len(at) - 1]) if len(at) > 1 else []:
-                w0, w1 = int(at[a]), int(ends[b - 1])
-                # windows that hold a repeated pair: from the first pair's end back to the last pair's start
-                lo, hi = max(0, int(ends[a + 1]) - PASSAGE_WORDS), min(int(at[b - 2]), len(h) - PASSAGE_WORDS)
-                if w1 - w0 < SEED_WORDS or hi < lo:
-                    continue
-                place = np.arange(lo, hi + 1)
-                sums = mix(sum(h[place + k] * _PLACES[k] for k in range(PASSAGE_WORDS)))
-                for x, v in zip(out, (part["_id"][i].as_py(), place.tolist(), sums.view(np.int64).tolist())):
-                    x.append(v)
-        kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds)], ["_id", "places", "windows"])
+        owner, n_words, places, windows = [], [], [], []
+        for i, (h, steps) in enumerate(_words(part["_text"])):
+            seeds, at = _chosen(h, steps)
+            marks = np.sort(part["marks"][i].values.to_numpy(zero_copy_only=False).view(np.uint64))
+            mine = seeds[at]
+            place = np.searchsorted(marks, mine)
+            shared = np.flatnonzero(marks[np.minimum(place, len(marks) - 1)] == mine) if len(marks) else np.zeros(0, np.int64)
+            sums = mix(sum(h[shared + k] * _PLACES[k] for k in range(PASSAGE_WORDS))).view(np.int64) if len(shared) else shared
+            runs = np.concatenate([[0], np.flatnonzero(np.diff(shared) > 1) + 1, [len(shared)]]) if len(shared) else [0]
+            for x, v in [(0, sums[:0]), *[(int(shared[a]), sums[a:b]) for a, b in zip(runs[:-1], runs[1:])]]:
+                owner.append(i)
+                n_words.append(len(h))
+                places.append(x)
+                windows.append(v)
+        owner = pa.array(owner, pa.int64())
+        yield pa.RecordBatch.from_arrays([*[part[x].take(owner) for x in ("_id", "_same", "several")], pa.array(n_words, pa.int32()),
+                                          pa.array(places, pa.int32()), pa.array(windows, pa.list_(pa.int64()))],
+                                         ["_id", "_same", "several", "n_words", "place", "windows"])
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,25 +102,37 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ``first_doc_id`` is the smallest id of a document that shares the
     passage's beginning.
 
-    A passage is found by chunks equal in their bytes (blanks included).
-    ``start_word`` counts from 0.  Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z
-    lower-cased.  Null, empty and short texts have none.  Rows with a null id
-    are left out; repeated rows of one id are one document.  An empty table
-    gives an empty result."""
-    texts = documents(docs, id_col, text_col).where("_id is not null and _text is not null")
-    pairs = texts.mapInArrow(_pair_batches, "digest bigint, _id bigint, k int")
-    shared = pairs.groupBy("digest").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("digest")
-    marks = pairs.join(shared, "digest").groupBy("_id").agg(F.collect_set("k").alias("marks"))  # as many as the text has chunks
-    marks = marks.where(F.size("marks") > 0)
-    found = materialize(texts.join(marks, "_id").mapInArrow(_stretch_batches, _FOUND), "passages")
-    rows = found.select("_id", F.explode(F.arrays_zip("places", "windows")).alias("w"))
-    rows = rows.select("_id", F.col("w.places").alias("w0"), F.col("w.windows").alias("digest"))
+    Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; ``start_word``
+    counts from 0.  A window is compared if the gaps inside its seed are as
+    long in the other document, of whatever blanks; elsewhere gaps don't
+    count.  Null, empty and short texts have no passages.  Rows with a null
+    id are left out; repeated rows of one id are one document.  An empty
+    table gives an empty result."""
+    texts = documents(docs, id_col, text_col).where("_id is not null and _text is not null").withColumn("_same", F.xxhash64("_text"))
+    members = materialize(texts.select("_same", "_id").distinct(), "texts")
+    same = members.groupBy("_same").agg(F.min("_id").alias("_id"), (F.min("_id") < F.max("_id")).alias("several"))
+    # what is shared is joined from written tables, so that a hot seed or window can be split
+    seeds = materialize(texts.mapInArrow(_seed_batches, "digest bigint, _id bigint, _same bigint"), "seeds")
+    shared = seeds.groupBy("digest").agg(F.min("_same").alias("lo"), F.max("_same").alias("hi")).where("lo < hi").select("digest")
+    marks = seeds.join(materialize(shared, "shared-seeds"), "digest").groupBy("_same", "_id").agg(F.collect_set("digest").alias("marks"))
+    wanted = same.join(marks, ["_same", "_id"], "left").where("several or marks is not null")
+    wanted = wanted.withColumn("marks", F.coalesce("marks", F.expr("cast(array() as array<bigint>)")))
+    found = materialize(texts.join(wanted, ["_same", "_id"]).mapInArrow(_window_batches, _FOUND), "passages")
+    rows = found.select("_id", "several", "place", F.posexplode("windows").alias("k", "digest"))
+    rows = rows.select("_id", "several", (F.col("place") + F.col("k")).alias("w0"), "digest")
     both = rows.groupBy("digest").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("digest", "lo")
-    hits = rows.join(both, "digest").select("_id", "w0", "lo").distinct()
+    every = materialize(rows.join(materialize(both, "shared-windows"), "digest").select("_id", "several", "w0", "lo"), "hits")
+    hits = every.where("not several")
     # windows that overlap or touch make one passage
     order = Window.partitionBy("_id").orderBy("w0")
     hits = hits.withColumn("new", (F.col("w0") - F.coalesce(F.lag("w0").over(order), F.lit(-PASSAGE_WORDS - 1)) > PASSAGE_WORDS).cast("int"))
     hits = hits.withColumn("run", F.sum("new").over(order))
     passages = hits.groupBy("_id", "run").agg(F.min("w0").alias("w0"), F.max("w0").alias("w1"), F.min_by("lo", "w0").alias("first"))
-    return passages.select(F.col("_id").alias("doc_id"), F.col("w0").alias("start_word"),
-                           (F.col("w1") - F.col("w0") + PASSAGE_WORDS).cast("int").alias("n_words"), F.col("first").alias("first_doc_id"))
+    passages = passages.select(F.col("_id").alias("doc_id"), F.col("w0").alias("start_word"),
+                               (F.col("w1") - F.col("w0") + PASSAGE_WORDS).cast("int").alias("n_words"), F.col("first").alias("first_doc_id"))
+    # texts of several documents are one passage each
+    whole = found.where(f"several and n_words >= {PASSAGE_WORDS}").select("_same", "_id", "n_words").distinct()
+    begins = every.where("several and w0 = 0").groupBy("_id").agg(F.min("lo").alias("lo"))
+    whole = materialize(whole.join(begins, "_id", "left").select("_same", F.least("_id", "lo").alias("first_doc_id"), "n_words"), "whole-texts")
+    copies = members.join(whole, "_same").select(F.col("_id").alias("doc_id"), F.lit(0).alias("start_word"), "n_words", "first_doc_id")
+    return passages.unionByName(copies)

@@ -197,6 +197,42 @@ def test_short_passages_inside_copied_documents(spark):
     assert got == [row for k in range(0, 120, 3) for row in ((k, 0, 251, k), (k + 1, 0, 251, k), (k + 2, 40, 51, k))]
 
 
+def test_passages_are_those_of_brute_force(spark):
+    from priceloom.llm.chunk_dedup import repeated_passages
+    rnd = random.Random(9)
+    fresh = lambda n: ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 6))) for _ in range(n)]
+    texts = []
+    for n in (50, 51, 52, 60):
+        for _ in range(8):
+            passage = [w[:2] for w in fresh(n)]
+            copied = fresh(rnd.randint(0, 90)) + passage + fresh(rnd.randint(0, 90))
+            texts += [copied, fresh(rnd.randint(0, 60)) + passage + fresh(30)] + [copied] * rnd.randint(0, 2)
+    texts += [fresh(5) + ["a"] * 60 + fresh(5), fresh(70) + ["a"] * 55, ["x", "y"] * 40, fresh(9) + ["y", "x"] * 27, ["", "-"] * 30]
+    for k in (20, 26, 40):  # one word over and over, a long word, and another blank or case
+        texts += [["ab"] * k + ["c" * 300] + ["ab"] * 31, fresh(4) + ["ab"] * k + ["c" * 300] + ["ab"] * 31]
+    data = [(3 * k, " ".join(t)) for k, t in enumerate(texts)]
+    data += [(1, data[0][1].replace(" ", "\n")), (2, data[1][1].upper()), data[0], (4, None), (5, "")]
+    data = rnd.sample(data, len(data))
+    holders, windows = {}, {}
+    for i, t in data:
+        w = [x.lower() for x in WORDS.findall(t or "")]
+        windows[i] = [tuple(w[k:k + 51]) for k in range(len(w) - 50)]
+        for x in windows[i]:
+            holders.setdefault(x, set()).add(i)
+    want = []
+    for i, own in windows.items():
+        hits = [k for k, x in enumerate(own) if len(holders[x]) > 1]
+        runs = []
+        for k in hits:
+            if runs and k - runs[-1][1] <= 51:
+                runs[-1][1] = k
+            else:
+                runs.append([k, k])
+        want += [(i, a, b - a + 51, min(holders[own[a]])) for a, b in runs]
+    got = sorted(tuple(r) for r in repeated_passages(spark.createDataFrame(data, "doc_id bigint, text string")).collect())
+    assert got == sorted(want) and len(got) > 70
+
+
 def test_language_and_toxicity_on_held_out_rows(spark):
     from priceloom.llm.language import identify
     from priceloom.llm.toxicity import score, train
