@@ -10,6 +10,10 @@ length gives in that encoding:
 * the number of runs of one character class (lower, upper, digit),
 * the lag-1 serial correlation of the class sequence.
 
+Where all characters are of one such class, others that vary stand in: digits
+up to 4 and beyond; rare and common letters for the runs, vowels and consonants
+for the correlation (text alternates them, random letters don't).
+
 Random strings lie far below ordinary text in all three.  The combined
 p-value is the chance that ordinary text looks as random.  Within each
 length class the false discovery rate is held over the whole corpus by the
@@ -40,12 +44,13 @@ TOKEN = r"[A-Za-z0-9+/_=-]{%d,}" % TOKEN_CHARS
 
 # Per encoding: alphabet size; excess of text's chi-squared per character;
 # chance that neighbouring characters of text differ in class; lag-1
-# correlation of text's classes.  The excess is A * sum(p^2) - 1 with
+# correlation of text's classes; 1 if random strings have less of it, -1 if more.  The excess is A * sum(p^2) - 1 with
 # sum(p^2) = 1/15, the repeat rate of letters in European text.
 BACKGROUND = {
-    "decimal": (10, 0.5, 0.01, 0.5), "hex": (16, 1.0, 0.15, 0.5), "base32": (32, 1.13, 0.10, 0.5),
-    "letters": (26, 0.73, 0.10, 0.5), "base64": (64, 3.27, 0.10, 0.5),
+    "decimal": (10, 0.5, 0.10, 0.5, 1), "hex": (16, 1.0, 0.15, 0.5, 1), "base32": (32, 1.13, 0.10, 0.5, 1),
+    "letters": (26, 0.73, 0.24, -0.2, -1), "base64": (64, 3.27, 0.10, 0.5, 1),
 }
+RARE, VOWELS = "bfgjkpqvwxyz", "aeiou"
 LENGTH_CLASSES = (24, 32, 40, 64, 128)  # upper bounds; one more class beyond
 BINS_PER_DECADE, MAX_BIN = 10, 400
 
@@ -94,9 +99,16 @@ def _class(ch: Column) -> Column:
     return (F.when(ch.between("a", "z"), 0).when(ch.between("A", "Z"), 1).when(ch.between("0", "9"), 2).otherwise(3)).cast("double")
 
 
+def _classes(ch: Column, enc: Column, letters: str) -> Column:
+    """The classes of characters that aren't separators."""
+    one = lambda c: (F.when(enc == "decimal", (c >= "5").cast("double"))
+                     .when(enc == "letters", F.contains(F.lit(letters), F.lower(c)).cast("double")).otherwise(_class(c)))
+    return F.transform(F.filter(ch, lambda c: _class(c) < 3), one)  # separators are no class of their own
+
+
 def _encoding(m: Column) -> Column:
-    return (F.when(m.rlike("^[0-9]+$"), "decimal").when(m.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
-            .when(m.rlike("^[A-Z2-7]+=*$"), "base32").when(m.rlike("^([a-z_-]+|[A-Z_-]+|[A-Z][a-z_-]+)$"), "letters").otherwise("base64"))
+    return (F.when(m.rlike("^[0-9]+$"), "decimal").when(m.rlike("^([a-z_-]+|[A-Z_-]+|[A-Z][a-z_-]+)=*$"), "letters")
+            .when(m.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(m.rlike("^[A-Z2-7]+=*$"), "base32").otherwise("base64"))
 
 
 def _background(enc: Column, k: int) -> Column:
@@ -116,26 +128,27 @@ def _scored(tokens: Column) -> Column:
                                                     F.split(t["m"], "(?!^)").alias("ch")))
     tokens = F.transform(tokens, lambda t: F.struct(
         t["s"].alias("s"), t["e"].alias("e"), t["n"].alias("n"),
-        *[_background(t["enc"], k).alias(x) for k, x in enumerate(("size", "excess", "tau", "rho"))],
-        F.filter(F.transform(t["ch"], _class), lambda c: c < 3).alias("cl"),  # separators are no class of their own
+        *[_background(t["enc"], k).alias(x) for k, x in enumerate(("size", "excess", "tau", "rho", "sign"))],
+        _classes(t["ch"], t["enc"], RARE).alias("runs"), _classes(t["ch"], t["enc"], VOWELS).alias("cl"),
         F.aggregate(F.array_distinct(t["ch"]), F.lit(0.0),
                     lambda acc, c: acc + F.pow(t["n"] - F.length(F.replace(t["m"], c, F.lit(""))), F.lit(2.0))).alias("squares")))
     tokens = F.transform(tokens, lambda t: F.struct(
-        *[t[x].alias(x) for x in ("s", "e", "n", "size", "excess", "tau", "rho", "squares")], (_sum(t["cl"]) / F.greatest(F.size(t["cl"]), F.lit(1))).alias("mean"),
+        *[t[x].alias(x) for x in ("s", "e", "n", "size", "excess", "tau", "rho", "sign", "squares")], (_sum(t["cl"]) / F.greatest(F.size(t["cl"]), F.lit(1))).alias("mean"),
         F.greatest(F.size(t["cl"]) - 1, F.lit(1)).cast("double").alias("pairs"),
+        sub(t["runs"], 1).alias("from"), sub(t["runs"], 2).alias("to"),
         sub(t["cl"], 1).alias("head"), sub(t["cl"], 2).alias("tail"), t["cl"].alias("cl")))
     tokens = F.transform(tokens, lambda t: F.struct(
-        *[t[x].alias(x) for x in ("s", "e", "n", "tau", "rho", "pairs")],
+        *[t[x].alias(x) for x in ("s", "e", "n", "tau", "rho", "sign", "pairs")],
         ((t["squares"] * t["size"] / t["n"] - t["n"] - (t["size"] - 1 + t["n"] * t["excess"]))
          / F.sqrt(2 * (t["size"] - 1) + 4 * t["n"] * t["excess"])).alias("z_chi"),
-        _sum(F.zip_with(t["head"], t["tail"], lambda a, b: F.when(a == b, 0.0).otherwise(1.0))).alias("changes"),
+        _sum(F.zip_with(t["from"], t["to"], lambda a, b: F.when(a == b, 0.0).otherwise(1.0))).alias("changes"),
         (_sum(F.transform(t["cl"], lambda a: F.pow(a - t["mean"], F.lit(2.0)))) / (t["pairs"] + 1)).alias("var"),
         (_sum(F.zip_with(t["head"], t["tail"], lambda a, b: (a - t["mean"]) * (b - t["mean"]))) / t["pairs"]).alias("cov")))
 
     def z(t: Column) -> Column:
         runs = (t["pairs"] * t["tau"] - t["changes"]) / F.sqrt(t["pairs"] * t["tau"] * (1 - t["tau"]))
-        corr = F.when(t["var"] > 0, t["cov"] / t["var"]).otherwise(1.0)  # one class only: as ordered as can be
-        return (t["z_chi"] + runs + (corr - t["rho"]) * F.sqrt(t["n"])) / math.sqrt(3.0)
+        order = F.when(t["var"] > 0, t["sign"] * (t["cov"] / t["var"] - t["rho"])).otherwise(0.5)  # one class only: as ordered as can be
+        return (t["z_chi"] + runs + order * F.sqrt(t["n"])) / math.sqrt(3.0)
 
     tokens = F.transform(tokens, lambda t: F.struct(t["s"].alias("s"), t["e"].alias("e"), z(t).alias("z")))
     tokens = F.transform(tokens, lambda t: F.struct(t["s"].alias("s"), t["e"].alias("e"), t["z"].alias("z"),

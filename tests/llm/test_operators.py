@@ -176,6 +176,19 @@ def test_battery_finds_random_keys(spark):
     assert sum(got[k] for k in range(20)) >= 19 and not any(got[100 + k] for k in range(20))
 
 
+def test_battery_finds_keys_of_one_character_class(spark):
+    from priceloom.llm.secret_scan import find_secrets
+    rnd = random.Random(14)
+    kinds = {"0123456789": 23, "abcdefghijklmnopqrstuvwxyz": 48, "ABCDEFGHIJKLMNOPQRSTUVWXYZ": 48, "0123456789ABCDEF": 32, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567": 48}
+    plain = ["internationalization-of-the-configuration_management", "donaudampfschifffahrtsgesellschaft", "anticonstitutionnellement-vraiment",
+             "VERY_LONG_NAME_OF_A_CONSTANT_VALUE", "12345678901234567890", "00000000000000000000042", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "------------------------"]
+    data = [(100 * k + i, "see " + "".join(rnd.choice(a) for _ in range(n))) for k, (a, n) in enumerate(kinds.items()) for i in range(20)]
+    data += [(1000 + k, "see " + x) for k, x in enumerate(plain)]
+    got = {r.doc_id: r.n_random for r in find_secrets(spark.createDataFrame(data, "doc_id bigint, text string")).collect()}
+    found = [sum(got[100 * k + i] for i in range(20)) for k in range(len(kinds))]
+    assert min(found) >= 14 and not any(got[1000 + k] for k in range(len(plain))), found
+
+
 def test_passages(docs):
     from priceloom.llm.chunk_dedup import repeated_passages
     got = {(r.doc_id, r.first_doc_id) for r in repeated_passages(docs).collect()}
