@@ -209,7 +209,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     placed = manifest.withColumn("offset", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    return placed.repartition("part").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # a given number of partitions isn't coalesced, small as the rows are
+    return placed.repartition(max(1, manifest.count()), "part").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",

@@ -125,6 +125,15 @@ def test_codecs_are_those_of_the_libraries(docs, rows):
     assert token_round_trip(docs.limit(0), path).count() == 0
 
 
+def test_token_files_are_read_by_many_tasks(spark, docs, tmp_path):
+    from priceloom.llm.token_files import read_tokens, write_tokens
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    parts = [write_tokens(docs, path, f"file://{tmp_path}/{k}").withColumn("part", F.lit(k)) for k in range(4)]
+    out = read_tokens(reduce(lambda a, b: a.unionByName(b), parts))
+    assert out.count() == 4 * docs.count()
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_nearest(spark):
     from priceloom.llm.nearest import nearest
     rng = np.random.default_rng(1)
