@@ -280,3 +280,52 @@ def test_pipeline_stages(spark):
     out = C.run(spark, "/root/testdata/sf0.001")
     assert [n for n, _ in C.STAGES] == ["language_id", "exact_dedup", "near_dedup", "secret_scan", "best_fit_packing"]
     assert 0 < out.select("doc_id").distinct().count() <= docs.count()
+
+
+def test_pipeline_keeps_and_packs_what_brute_force_does(spark, docs, rows):
+    import corpus_pipeline as C
+    from priceloom.llm.common import materialize
+    from priceloom.llm.language import identify
+    stages = dict(C.STAGES)
+    small = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    kept = sorted(r.doc_id for r in stages["language_id"](spark, small, "").collect())
+    assert kept == sorted(r.doc_id for r in identify(small).collect() if r.lang_pred != "und" and r.score >= 0.4)
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t), []).append((i is None, -len(t), i or 0))
+    want = {min(g)[2] for g in groups.values()}
+    out = materialize(stages["exact_dedup"](spark, docs, ""), "test-exact")
+    assert sorted(r.doc_id for r in out.collect()) == sorted(want)
+    text = {r.doc_id: r.text or "" for r in out.collect()}
+    words = {i: WORDS.findall(t.lower()) for i, t in text.items()}
+    sets = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()} for i, w in words.items()}
+    want = {i for i in sets if not any(j < i and sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]) for j in sets)}
+    out = materialize(stages["near_dedup"](spark, out, ""), "test-near")
+    assert {r.doc_id for r in out.collect()} == want and len(want) < len(sets)
+    out = materialize(stages["secret_scan"](spark, out, ""), "test-clean")
+    clean = {r.doc_id: r.text for r in out.collect()}
+    assert set(clean) == want and all((clean[i] or "") == text[i] for i in want - {11}) and "hunter22" not in clean[11]
+    packed = stages["best_fit_packing"](spark, out, "").collect()
+    n = {i: len(WORDS.findall(t or "")) for i, t in clean.items()}
+    assert {r.doc_id for r in packed} == want and all(sum(r.n_tokens for r in packed if r.doc_id == i) == n[i] for i in want)
+    assert len({r.bin_id for r in packed if r.bin_id is not None}) == sum(-(-n[i] // 2048) for i in want)  # all of one source: a bin each
+
+
+def test_packing_keeps_sources_and_clusters_apart(spark):
+    from priceloom.llm.packing import pack_documents
+    rnd = random.Random(6)
+    data = [(i, rnd.randint(0, 250), f"s{rnd.randint(0, 9)}", rnd.randint(0, 30)) for i in range(200)]
+    out = pack_documents(spark.createDataFrame(data, "doc_id bigint, n bigint, s string, c bigint"), F.col("n"), F.col("s"), F.col("c"), capacity=100).collect()
+    pieces = {}
+    for r in out:
+        pieces.setdefault(r.doc_id, []).append((r.start, r.n_tokens))
+    for i, n, _, _ in data:
+        assert sorted(pieces[i]) == [(a, min(100, n - a)) for a in range(0, max(n, 1), 100)]
+    bins = {}
+    for r in out:
+        if r.bin_id is not None:
+            bins.setdefault(r.bin_id, []).append(r)
+    for own in bins.values():
+        assert sum(r.n_tokens for r in own) <= 100
+        assert len({data[r.doc_id][2] for r in own}) == len({data[r.doc_id][3] for r in own}) == len(own)
+    assert len(pieces) == len(data)
