@@ -71,5 +71,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from priceloom.llm.token_counts import count_tokens
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_sentencepiece, op3_nearest, op4_packing, op5_language, op6_secret_scan,
-                                 op7_chunk_dedup, op8_exact_dedup, op9_toxicity, op10_token_files)}
+                                 op7_chunk_dedup, op8_exact_dedup, op9_toxicity, op10_token_files, op11_token_counts)}
