@@ -168,9 +168,9 @@ def periodic_runs(docs: DataFrame, least_words: int = LEAST_WORDS, least_periods
             left = np.concatenate([[0], np.cumsum(kept)])[bounds]
             listed = pa.StructArray.from_arrays([pa.array(starts - bounds[texts]), pa.array(lengths), pa.array(periods)], fields=list(_RUN))
             offsets = np.searchsorted(texts, np.arange(len(bounds))).astype(np.int32)
-            lines = pa.LargeListArray.from_arrays(pa.array(left), words.take(pa.array(number[kept])))
+            lines = pa.ListArray.from_arrays(pa.array(left.astype(np.int32)), words.take(pa.array(number[kept])))
             yield pa.RecordBatch.from_arrays([part["_id"], pa.array(np.diff(bounds)), pa.ListArray.from_arrays(pa.array(offsets), listed),
-                                              pc.binary_join(lines, " ").cast(pa.string())], ["doc_id", "n_words", "runs", "collapsed"])
+                                              pc.binary_join(lines, pa.scalar(" ", words.type)).cast(pa.string())], ["doc_id", "n_words", "runs", "collapsed"])
     return documents(docs, id_col, text_col).mapInArrow(run, _RUNS)
 
 
