@@ -1,6 +1,45 @@
 """DuckDB SQL for those queries that SQL can express."""
 
+#: All phrases are counted here, whatever their parts.
+_COLLOCATIONS = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), f AS (
+    SELECT lang, size, phrase, count(*) AS a FROM (
+        SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+        FROM w CROSS JOIN (SELECT unnest([1, 2, 3, 4, 5]) AS size) WHERE len(w) >= size
+    ) GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1
+), cuts AS (
+    SELECT lang, size, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM f WHERE size > 1
+), rated AS (
+    SELECT c.lang, c.size, c.phrase, c.a, c.w, c.k, l.a AS l, r.a AS r, t.n,
+           (1000 * CAST(c.a AS HUGEINT) * CAST(t.n AS HUGEINT)) // (CAST(l.a AS HUGEINT) * CAST(r.a AS HUGEINT)) AS score
+    FROM cuts c JOIN totals t USING (lang)
+    JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : c.k], ' ')
+    JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1 :], ' ')
+), best AS (
+    SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), parts AS (
+    SELECT lang, a, unnest(list_transform(flatten(list_transform(range(2, size), lambda m: list_transform(range(1, size - m + 2), lambda i: [i, m]))),
+                                          lambda x: array_to_string(w[x[1] : x[1] + x[2] - 1], ' '))) AS phrase
+    FROM best WHERE size > 2
+), covered AS (
+    SELECT lang, phrase, max(a) AS longer FROM parts GROUP BY 1, 2
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best LEFT JOIN covered USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a
+QUALIFY rank <= 2000
+"""
+
 ORACLE_SQL = {
+    "op13_collocations": _COLLOCATIONS,
     "op8_exact_dedup": r"""
 WITH n AS (
     SELECT doc_id, length(coalesce(text, '')) AS chars,

@@ -82,6 +82,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from priceloom.llm.collocations import collocations
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_sentencepiece, op3_nearest, op4_packing, op5_language, op6_secret_scan,
                                  op7_chunk_dedup, op8_exact_dedup, op9_toxicity, op10_token_files, op11_token_counts,
-                                 op12_periodic_runs)}
+                                 op12_periodic_runs, op13_collocations)}
