@@ -32,7 +32,7 @@ from priceloom.llm.common import documents, materialize, scratch_path, text_slic
 
 SEQUENCE = 2048  # ids in a sequence
 BATCH = 256  # sequences in a record batch
-_PLAIN = re.compile(r"([A-Za-z]+)([.,]?)")
+LINE = 500  # chunks encoded side by side
 _SAFE = re.compile(r" (?=\S)")
 # a space before another white-space character or the end is no place to cut
 _UNSAFE = r" ([\s\p{Z}\x{85}\x{1c}-\x{1f}]|$)"
@@ -52,22 +52,24 @@ class Encoder:
             raise ValueError("only byte-level BPE without a normalizer can be cut at spaces")
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self._rest = ChunkTable(self._encode_rest, self.dtype)
-        self._ends = {c: self._encode([c])[0] if c else [] for c in ("", ".", ",")}
+        self._opens = np.array([(self.tok.id_to_token(i) or "").startswith("Ġ") for i in range(self.tok.get_vocab_size())])
         self._first = ChunkTable(self._encode, self.dtype)
 
     def _encode(self, chunks: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    def _encode_rest(self, chunks: list[str]) -> list[list[int]]:
-        """Chunks after a space.  A plain word is one pre-token (a space is
-        written ``Ġ`` there), which the library's BPE model takes directly."""
-        plain = [_PLAIN.fullmatch(c) for c in chunks]
-        model = self.tok.model
-        ids = [[t.id for t in model.tokenize("Ġ" + m[1])] + self._ends[m[2]] if m else None for m in plain]
-        other = [i for i, m in enumerate(plain) if not m]
-        for i, found in zip(other, self._encode([" " + chunks[i] for i in other])):
-            ids[i] = found
-        return ids
+    def _encode_rest(self, chunks: list[str]) -> list[list[int]] | tuple[np.ndarray, np.ndarray]:
+        """Chunks after a space.  Without a space inside, they are encoded
+        side by side: no token reaches over the space before the next one,
+        and of a chunk's tokens the first alone begins with a space."""
+        if any(" " in c for c in chunks):
+            return self._encode([" " + c for c in chunks])
+        lines = [" " + " ".join(chunks[k:k + LINE]) for k in range(0, len(chunks), LINE)]
+        ids = np.concatenate([np.array(x, self.dtype) for x in self._encode(lines)])
+        starts = np.flatnonzero(self._opens[ids])
+        if len(starts) != len(chunks):
+            return self._encode([" " + c for c in chunks])
+        return ids, np.diff(np.append(starts, len(ids)))
 
     def encode(self, text: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a line, and each text's bounds."""
