@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch_words, materialize, mix, scratch_path, text_bytes, text_slices
@@ -31,6 +31,8 @@ LEAST = 100  # occurrences of a phrase
 LONGEST = 5  # words of a phrase
 SHARDS = 3
 TOP = 2000
+#: A language's phrases are ranked in so many parts before those that lead them are ranked together.
+PARTS = 64
 #: 2**25 bits, 4 MB a bitmap; a fuller one begins more cycles in vain.
 BITMAP_BITS = 25
 SCAN_BYTES = 4 << 20
@@ -250,6 +252,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     An empty table, null or empty texts and rare words give no rows; a null
     language is ``und``; other columns of the input are not looked at."""
     rated = materialize(score_cuts(*frequent_phrases(docs, text_col, lang_col, least, longest, shards)), "phrase-scores")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = drop_covered(rated).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # a language's first ones are among the first of each of its parts, which are ranked apart
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    first = drop_covered(rated).withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+    ranked = first.filter(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))) \
+        .filter(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")
