@@ -40,11 +40,13 @@ def main() -> None:
     audit.collect()
     times["etl_pipeline"] = round(time.time() - t0, 3)
 
-    # Reports read the written clean tables; the two raw audits also read
-    # the raw inputs.
+    # Reports read the written clean tables and what the bundle derives from
+    # them once (the first report that needs a ledger or a fit pays for it);
+    # the raw audit also reads the raw inputs.  The round trips through files
+    # are queries for correctness, not reports.
     tables = pipeline.read_tables(spark, out, raw=raw)
     for name, fn in registry.catalogue().items():
-        if name.startswith("clean_"):
+        if name.startswith("clean_") or name in registry.FILES:
             continue
         t = time.time()
         fn(tables).write.format("noop").mode("overwrite").save()

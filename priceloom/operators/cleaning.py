@@ -83,6 +83,11 @@ def coerce_numeric(c: str, dtype: str = "double") -> Column:
     return F.expr(f"nullif(try_cast(`{c}` AS {dtype}), CAST('NaN' AS {dtype}))")
 
 
+def whole(c: str) -> Column:
+    """A count: malformed, missing or beyond BIGINT becomes 0."""
+    return F.coalesce(F.expr(f"try_cast(nullif(try_cast(`{c}` AS DOUBLE), CAST('NaN' AS DOUBLE)) AS BIGINT)"), F.lit(0).cast("bigint"))
+
+
 def _missing_region(c: Column) -> Column:
     return c.isNull() | (c == F.lit("nan"))
 
@@ -127,7 +132,7 @@ def clean_products(raw: DataFrame) -> DataFrame:
         upd[c] = r(clip(coerce_numeric(c), lower=0.01))
     if "seasonality_factor" in df.columns:
         upd["seasonality_factor"] = coerce_numeric("seasonality_factor")
-    upd["inventory_level"] = F.coalesce(coerce_numeric("inventory_level"), F.lit(0.0)).cast("int")
+    upd["inventory_level"] = whole("inventory_level")
     df = df.withColumns(upd)
     margin = F.try_divide(F.col("current_price") - F.col("base_cost"), F.col("current_price")) * F.lit(100.0)
     return df.withColumn("base_margin_pct", r(margin))
@@ -147,7 +152,7 @@ def accounting_identities(df: DataFrame) -> DataFrame:
     eff = r(F.col("unit_price") * (F.lit(1.0) - F.col("discount")))
     df = df.withColumns({
         # text -> number -> int; malformed or out-of-range -> NULL (no ANSI error)
-        "quantity": F.expr("try_cast(try_cast(`quantity` AS DOUBLE) AS INT)"),
+        "quantity": F.expr("try_cast(try_cast(`quantity` AS DOUBLE) AS BIGINT)"),
         "unit_price": r(coerce_numeric("unit_price")),
         "discount": r(F.col("discount"), 4),
     })
@@ -226,6 +231,8 @@ def flagged_sales(raw: DataFrame, products: DataFrame) -> DataFrame:
     counts in its final stage, where each task is counted exactly once."""
     df = stage_sales(raw, columns=[c for c in raw.columns if c not in RECOMPUTED])
     df = df.withColumns({
+        "competitor_price": coerce_numeric("competitor_price"),
+        "inventory_level": F.expr("try_cast(try_cast(`inventory_level` AS DOUBLE) AS BIGINT)"),
         "customer_id": F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)),
         "discount": clip(F.coalesce(coerce_numeric("discount"), F.lit(0.0)), lower=0.0, upper=0.5),
     })
@@ -262,6 +269,6 @@ def clean_pricing_history(raw: DataFrame) -> DataFrame:
     return df.withColumns({
         "price": r(clip(coerce_numeric("price"), lower=0.01)),
         "competitor_price": r(clip(coerce_numeric("competitor_price"), lower=0.01)),
-        "quantity_sold": F.coalesce(coerce_numeric("quantity_sold"), F.lit(0.0)).cast("int"),
+        "quantity_sold": whole("quantity_sold"),
         "revenue": r(F.coalesce(coerce_numeric("revenue"), F.lit(0.0))),
     }).select("date", "product_id", "price", "quantity_sold", "competitor_price", "revenue")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from priceloom.functions.numerics import r, safe_div
 from priceloom.operators.cleaning import GUEST_CUSTOMER
-from priceloom.operators.metrics import dbl, facts, refacts
+from priceloom.operators.metrics import dbl, facts, horizon, refacts
 from priceloom.operators.reports import GUEST_SEGMENT, product_performance
 
 # Weekday order of the day-of-week chart.
@@ -37,8 +37,11 @@ def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
         s = s.filter(F.col("customer_id") != GUEST_CUSTOMER).join(
             people.filter(F.col("customer_segment").isNotNull()), "customer_id")
     else:
-        s = s.join(people, "customer_id", "left").withColumn(
+        # guests never meet the join: their segment is known, and their key may be a third of all sales
+        guests = F.coalesce(F.col("customer_id"), F.lit(GUEST_CUSTOMER)) == GUEST_CUSTOMER
+        named = s.filter(~guests).join(people, "customer_id", "left").withColumn(
             "customer_segment", F.coalesce(F.col("customer_segment"), F.lit(GUEST_SEGMENT)))
+        s = named.unionByName(s.filter(guests).withColumn("customer_segment", F.lit(GUEST_SEGMENT)))
     if start is not None:
         s = s.filter(F.col("date") >= F.lit(start).cast("date"))
     if end is not None:
@@ -57,18 +60,20 @@ def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
 
 
 def filter_bounds(sales: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
-    """Date range and the sorted option lists of the sidebar (one row).
-    Distinct values are found distributed; only the (small) option lists
-    are gathered into arrays."""
-    def opts(df: DataFrame, c: str) -> Column:
-        return df.select(c).filter(F.col(c).isNotNull()).distinct() \
-                 .agg(F.array_sort(F.collect_list(c))).scalar()
-    return sales.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date")).select(
-        "min_date", "max_date",
-        opts(products, "category").alias("categories"),
-        opts(sales, "region").alias("regions"),
-        opts(customers, "customer_segment").alias("segments"),
-    )
+    """The sidebar's bounds as (bound, value) rows, sorted: ``min_date``,
+    ``max_date``, and a row for each ``category``, ``region`` and ``segment``.
+
+    Sales are read once, grouped by region; the dates come from the groups.
+    No list is gathered into a row, however many values there are."""
+    per_region = sales.groupBy("region").agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    dates = per_region.agg(F.min("first").alias("min_date"), F.max("last").alias("max_date")).select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("bound"), F.col(c).cast("string").alias("value")) for c in ("min_date", "max_date")])))
+
+    def options(df: DataFrame, c: str, bound: str) -> DataFrame:
+        return df.select(F.lit(bound).alias("bound"), F.col(c).alias("value")).filter(F.col("value").isNotNull())
+    lists = options(products, "category", "category").distinct().unionByName(
+        options(customers, "customer_segment", "segment").distinct()).unionByName(options(per_region, "region", "region"))
+    return dates.unionByName(lists).orderBy("bound", "value")
 
 
 def seasonality_pivot(sales: DataFrame, products: DataFrame) -> DataFrame:
@@ -101,7 +106,7 @@ def weekday_ordered(sales: DataFrame) -> DataFrame:
     ).orderBy("day_index")
 
 
-def inventory_turn_all_products(sales: DataFrame, products: DataFrame, months: int = 24) -> DataFrame:
+def inventory_turn_all_products(sales: DataFrame, products: DataFrame, months: int | Column = 24) -> DataFrame:
     """Every catalogue product with units sold (0 if none) and the
     monthly turn units / months / inventory (NULL on zero stock)."""
     u = facts(sales, ["product_id"], ("units",))
@@ -111,7 +116,7 @@ def inventory_turn_all_products(sales: DataFrame, products: DataFrame, months: i
     return j.select(
         "product_id", "product_name", "category", "inventory_level",
         units.alias("total_units"),
-        safe_div(units.cast("double") / F.lit(float(months)), F.col("inventory_level")).alias("monthly_turn"))
+        safe_div(units.cast("double") / horizon(months), F.col("inventory_level")).alias("monthly_turn"))
 
 
 def opportunity_matrix(sales: DataFrame, products: DataFrame, recs: DataFrame) -> DataFrame:

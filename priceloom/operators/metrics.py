@@ -43,7 +43,10 @@ ALL = ("n", "units", "rev", "prof", "cost_s", "eff_s", "eff_n", "disc_s", "disc_
 
 
 def facts(sales: DataFrame, keys: list[str], measures=ALL) -> DataFrame:
-    """First-level aggregate of sales by ``keys``."""
+    """First-level aggregate of sales by ``keys``; of a ledger (a ``facts``
+    frame by these or finer keys) the same totals, from its sums."""
+    if "transaction_id" not in sales.columns and set(measures) <= set(sales.columns):
+        return refacts(sales, keys, measures)
     m = _measures()
     return sales.groupBy(*keys).agg(*[m[x][0].alias(x) for x in measures])
 
@@ -54,6 +57,19 @@ def refacts(df: DataFrame, keys: list[str], measures=ALL) -> DataFrame:
     return df.groupBy(*keys).agg(*[m[x][1].alias(x) for x in measures if x in df.columns])
 
 
+def span_months(sales: DataFrame) -> DataFrame:
+    """Calendar months from the first to the last sale, both included (one
+    row): the horizon that annual and monthly volumes are scaled by."""
+    first, last = F.min("date"), F.max("date")
+    n = (F.year(last) - F.year(first)) * 12 + F.month(last) - F.month(first) + 1
+    return sales.agg(n.cast("double").alias("months"))
+
+
+def horizon(months: int | Column) -> Column:
+    """A number of months, given or measured (``span_months(...).scalar()``)."""
+    return months if isinstance(months, Column) else F.lit(float(months))
+
+
 def avg_of(sum_col: str, n_col: str) -> Column:
     """Exact-sum average as DOUBLE; NULL for an empty group."""
     return F.try_divide(dbl(sum_col), dbl(n_col))

@@ -5,10 +5,9 @@ the annual base volume, P the current price, Pc the competitor price, e the
 own-price elasticity and g the cross elasticity (both the rounded values the
 elasticity report publishes).
 
-The grid is generated for every product at once (``explode`` of the
-multiplier array), so the curve is a distributed table of 51 rows per
-product; the optimum per product is one ``groupBy`` with ``max_by`` /
-``min_by``.  No per-product loop, no driver collection.
+The grid is an array in each product's row, so the optima are picked by array
+functions without a shuffle; the curve as a table (51 rows per product) is
+that array exploded.  No per-product loop, no driver collection.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from priceloom.functions.numerics import portfolio_sum, r, safe_div
-from priceloom.operators.metrics import dbl, facts
+from priceloom.operators.metrics import dbl, facts, horizon
 
 DEFAULT_CROSS = 0.3
 DAYS_PER_YEAR = 365.0
@@ -29,13 +28,13 @@ def grid_multipliers(price_range_pct: float = 0.25, step_pct: float = 0.01) -> l
     return [float(x) for x in np.arange(1.0 - price_range_pct, 1.0 + price_range_pct + step_pct / 2.0, step_pct)]
 
 
-def annual_volumes(sales: DataFrame, months: int = 24) -> DataFrame:
+def annual_volumes(sales: DataFrame, months: int | Column = 24) -> DataFrame:
     """Units sold per product scaled to one year (sum * 12 / months)."""
     u = facts(sales, ["product_id"], ("units",))
-    return u.select("product_id", (dbl("units") * F.lit(12.0) / F.lit(float(months))).alias("annual_units"))
+    return u.select("product_id", (dbl("units") * F.lit(12.0) / horizon(months)).alias("annual_units"))
 
 
-def _inputs(fits: DataFrame, sales: DataFrame, months: int) -> DataFrame:
+def _inputs(fits: DataFrame, sales: DataFrame, months: int | Column) -> DataFrame:
     vol = annual_volumes(sales, months)
     base = fits.select("product_id", "product_name", "category", "elasticity", "classification",
                        "current_price", "base_cost", "competitor_price", "avg_daily_demand",
@@ -45,53 +44,50 @@ def _inputs(fits: DataFrame, sales: DataFrame, months: int) -> DataFrame:
     return j.withColumn("volume", F.when(v <= 0, F.col("avg_daily_demand") * F.lit(DAYS_PER_YEAR)).otherwise(v))
 
 
-def price_curve(fits: DataFrame, sales: DataFrame, price_range_pct: float = 0.25,
-                step_pct: float = 0.01, months: int = 24) -> DataFrame:
-    """Candidate prices r2(P * m) above cost with expected units, revenue,
-    cost, profit, margin and unit profit (P2), for every fitted product."""
-    mults = F.array(*[F.lit(m) for m in grid_multipliers(price_range_pct, step_pct)])
-    base = _inputs(fits, sales, months)
-    g = base.select("*", F.posexplode(mults).alias("grid_idx", "mult"))
+def _with_candidates(fits: DataFrame, sales: DataFrame, price_range_pct: float, step_pct: float,
+                     months: int | Column) -> DataFrame:
+    """Each product's row with the array ``grid`` of its candidate prices
+    above cost, ascending, as structs: a product never leaves its row."""
+    mults = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(m).alias("m")) for i, m in enumerate(grid_multipliers(price_range_pct, step_pct))])
     P, c, Pc = F.col("current_price"), F.col("base_cost"), F.col("competitor_price")
-    g = g.withColumn("candidate_price", r(P * F.col("mult"))).filter(F.col("candidate_price") > c)
-    cand = F.col("candidate_price")
-    demand = F.pow(safe_div(cand, P), F.col("elasticity")) * F.pow(safe_div(Pc, cand), F.col("cross"))
-    g = g.withColumn("expected_units", r(F.col("volume") * demand, 1))
-    g = g.withColumn("expected_revenue", r(F.col("expected_units") * cand))
-    g = g.withColumn("expected_cost", r(F.col("expected_units") * c))
-    return g.select(
-        "product_id", "product_name", "grid_idx", "candidate_price",
-        r((F.col("mult") - F.lit(1.0)) * F.lit(100.0), 1).alias("price_change_pct"),
-        "expected_units", "expected_revenue", "expected_cost",
-        r(F.col("expected_revenue") - F.col("expected_cost")).alias("expected_profit"),
-        r(safe_div(cand - c, cand) * F.lit(100.0)).alias("margin_pct"),
-        r(cand - c).alias("unit_profit"),
-    )
 
+    def outcome(x: Column) -> Column:
+        demand = F.pow(safe_div(x["p"], P), F.col("elasticity")) * F.pow(safe_div(Pc, x["p"]), F.col("cross"))
+        return F.struct(x["i"].alias("grid_idx"), x["p"].alias("candidate_price"), x["m"].alias("mult"),
+                        r(F.col("volume") * demand, 1).alias("expected_units"))
 
-_ROW = ("candidate_price", "price_change_pct", "expected_units", "expected_revenue",
-        "expected_profit", "margin_pct")
+    def money(x: Column) -> Column:
+        p, units = x["candidate_price"], x["expected_units"]
+        return F.struct(x["grid_idx"].alias("grid_idx"), p.alias("candidate_price"),
+                        r((x["mult"] - F.lit(1.0)) * F.lit(100.0), 1).alias("price_change_pct"), units.alias("expected_units"),
+                        r(units * p).alias("expected_revenue"), r(units * c).alias("expected_cost"),
+                        r(r(units * p) - r(units * c)).alias("expected_profit"),
+                        r(safe_div(p - c, p) * F.lit(100.0)).alias("margin_pct"), r(p - c).alias("unit_profit"))
+    priced = F.transform(mults, lambda x: F.struct(x["i"].alias("i"), x["m"].alias("m"), r(P * x["m"]).alias("p")))
+    above = F.filter(priced, lambda x: x["p"] > c)
+    return _inputs(fits, sales, months).withColumn("grid", F.transform(F.transform(above, outcome), money))
 
 
-def _pick(agg, order: Column, name: str) -> Column:
-    return agg(F.struct(*[F.col(x) for x in _ROW]), order).alias(name)
+def price_curve(fits: DataFrame, sales: DataFrame, price_range_pct: float = 0.25,
+                step_pct: float = 0.01, months: int | Column = 24) -> DataFrame:
+    """Candidate prices r2(P * m) above cost with expected units, revenue,
+    cost, profit, margin and unit profit (P2), for every fitted product."""
+    return _with_candidates(fits, sales, price_range_pct, step_pct, months).select("product_id", "product_name", F.inline("grid"))
+
 
+def _best(order) -> Column:
+    """The candidate with the largest key (ties: the lower price)."""
+    return F.array_max(F.transform("grid", lambda x: F.struct(order(x).alias("key"), (-x["grid_idx"]).alias("tie"), x.alias("row"))))["row"]
 
-def optimal_prices(fits: DataFrame, sales: DataFrame, months: int = 24) -> DataFrame:
+
+def optimal_prices(fits: DataFrame, sales: DataFrame, months: int | Column = 24) -> DataFrame:
     """Per product: the curve row nearest the current price (baseline), the
     revenue-maximising and the profit-maximising rows (lowest price on ties)
-    and the upside of each (P3 / P4)."""
-    curve = price_curve(fits, sales, months=months)
-    cur = fits.select("product_id", "current_price")
-    i = F.col("grid_idx")
-    best = curve.join(cur, "product_id").groupBy("product_id").agg(
-        _pick(F.min_by, F.struct(F.abs(F.col("candidate_price") - F.col("current_price")), i), "cur"),
-        _pick(F.max_by, F.struct(F.col("expected_revenue"), -i), "rmax"),
-        _pick(F.max_by, F.struct(F.col("expected_profit"), -i), "pmax"),
-    )
-    meta = fits.select("product_id", "product_name", "category", "elasticity", "classification",
-                       "base_cost", "current_price", "competitor_price")
-    j = meta.join(best, "product_id")
+    and the upside of each (P3 / P4).  The three are picked inside the
+    product's row, without exploding, joining or grouping the curve."""
+    j = _with_candidates(fits, sales, 0.25, 0.01, months).filter(F.size("grid") > 0).select(
+        "*", _best(lambda x: -F.abs(x["candidate_price"] - F.col("current_price"))).alias("cur"),
+        _best(lambda x: x["expected_revenue"]).alias("rmax"), _best(lambda x: x["expected_profit"]).alias("pmax"))
     # Upsides are published rounded; their percentages use the raw difference.
     rev_diff = F.col("rmax.expected_revenue") - F.col("cur.expected_revenue")
     prof_diff = F.col("pmax.expected_profit") - F.col("cur.expected_profit")
@@ -124,7 +120,7 @@ def optimal_prices(fits: DataFrame, sales: DataFrame, months: int = 24) -> DataF
 
 
 def simulate_scenarios(scenarios: DataFrame, fits: DataFrame, sales: DataFrame,
-                       months: int = 24) -> DataFrame:
+                       months: int | Column = 24) -> DataFrame:
     """What-if P&L for a table of scenarios (P5).
 
     ``scenarios``: scenario_id, product_id, new_price, and optionally

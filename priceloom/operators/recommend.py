@@ -97,9 +97,9 @@ def quadrant(eps: Column, margin_pct: Column) -> Column:
 
 
 def recommendations(opt: DataFrame, products: DataFrame, fits: DataFrame, sales: DataFrame,
-                    months: int = 24) -> DataFrame:
+                    months: int | Column = 24) -> DataFrame:
     """One recommendation per optimised product (R1), re-evaluated with the
-    scenario simulator at the recommended price, sorted by profit impact."""
+    scenario simulator at the recommended price."""
     inv = products.select("product_id", "inventory_level")
     j = opt.join(inv, "product_id", "left")
     P, Pc = F.col("current_price"), F.col("competitor_price")
@@ -134,7 +134,7 @@ def recommendations(opt: DataFrame, products: DataFrame, fits: DataFrame, sales:
         F.coalesce("expected_profit_impact_pct", z).alias("expected_profit_impact_pct"),
         quadrant(F.col("elasticity"), F.col("current_margin_pct")).alias("opportunity_quadrant"),
         F.col("_d.rationale").alias("rationale"),
-    ).orderBy(F.col("expected_profit_impact").desc(), "product_id")
+    )
 
 
 def action_counts(recs: DataFrame) -> DataFrame:

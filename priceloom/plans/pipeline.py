@@ -9,15 +9,14 @@ attached to the sales write: no extra pass over the raw sales.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from priceloom.operators import cleaning, quality
-from priceloom.plans.tables import RetailTables, read_clean
-from priceloom.sources import files
-
-HistorySource = DataFrame | Callable[[DataFrame, DataFrame], DataFrame]
+from priceloom.plans.tables import HistorySource, RetailTables, read_clean
+from priceloom.session import scratch_path
+from priceloom.sources import files, testdata
 
 
 def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: DataFrame,
@@ -73,9 +72,20 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
 
 
 def read_tables(spark: SparkSession, out_dir: str, raw=None) -> RetailTables:
-    """The clean tables a ``run_pipeline`` call wrote (S2); ``raw`` (the raw
-    inputs) is attached for the audits, with the written raw history."""
+    """The clean tables a ``run_pipeline`` call wrote (S2), with its audit;
+    ``raw`` (the raw inputs) is attached for the raw audit, with the written
+    raw history.  Stages of the bundle are written beside the tables."""
     t = read_clean(spark, out_dir)
     t.raw = raw
-    t.raw_history = spark.read.parquet(f"{out_dir.rstrip('/')}/_raw_pricing_history")
+    t.folder = out_dir.rstrip("/")
+    t.raw_history = spark.read.parquet(f"{t.folder}/_raw_pricing_history")
+    t.audit = spark.read.schema(quality.AUDIT_SCHEMA).json(f"{t.folder}/_audit")
     return t
+
+
+def testdata_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
+    """The whole job over the test data: raw views, cleaning, written tables."""
+    raw = testdata.raw_from_testdata(spark, sf_dir)
+    out = scratch_path(spark, f"retail-{uuid.uuid4().hex[:12]}")
+    run_pipeline(spark, raw.customers, raw.products, raw.sales, testdata.raw_pricing_history, out)
+    return read_tables(spark, out, raw)

@@ -5,6 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,12 +51,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply runtime SQL settings to an existing session."""
+    """Apply runtime SQL settings to an existing session.  Results depend on
+    some of them, so one that can't be set and differs is reported."""
     for k, v in ENGINE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
+        elif spark.conf.get(k, None) != v:
+            warnings.warn(f"{k} is fixed at {spark.conf.get(k, None)} in this session, not {v}", stacklevel=2)
     return spark
 
 
@@ -117,9 +122,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_STAGES_IN: ContextVar[str | None] = ContextVar("stages_in", default=None)
+
+
+@contextmanager
+def stages_in(folder: str) -> Iterator[None]:
+    """Stage tables written inside this context lie in ``folder`` (a place in
+    the shared checkpoint folder), so that they can be deleted together."""
+    token = _STAGES_IN.set(folder)
+    try:
+        yield
+    finally:
+        _STAGES_IN.reset(token)
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder of stage tables through the session's file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> tuple:
+    """Size, file count and time of change of each path: equal as long as the
+    data there is the same."""
+    out = []
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = store.getContentSummary(where)
+        out.append((path, found.getLength(), found.getFileCount(), store.getFileStatus(where).getModificationTime()))
+    return tuple(out)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written stage tables."""
-    base = checkpoint_dir(spark)
+    base = _STAGES_IN.get() or checkpoint_dir(spark)
     if "://" in base:
         return base.rstrip("/") + "/" + name
     return os.path.join(base, name)

@@ -72,11 +72,15 @@ def write_clean(tables, out_dir: str, partition_sales: bool = True, fmt: str = "
         w.save(f"{base}/{name}")
 
 
-def write_tables(tables, database: str | None = None, prefix: str = "") -> None:
-    """Replace the four tables in the session catalogue."""
+def write_tables(tables, database: str | None = None, prefix: str = "", location: str | None = None) -> None:
+    """Replace the four tables in the session catalogue; their files go
+    to the warehouse, or to ``location``."""
     for name in CLEAN_NAMES:
         full = f"{database}.{prefix}{name}" if database else f"{prefix}{name}"
-        getattr(tables, name).write.mode("overwrite").saveAsTable(full)
+        out = getattr(tables, name).write.mode("overwrite")
+        if location is not None:
+            out = out.option("path", f"{location.rstrip('/')}/{prefix}{name}")
+        out.saveAsTable(full)
 
 
 def write_audit(audit: DataFrame, path: str) -> None:
@@ -90,6 +94,6 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def preview(df: DataFrame, n: int = 200, order_by: list[str] | None = None) -> DataFrame:
-    """The first ``n`` rows, ordered by a key for a stable answer."""
-    keys = order_by or [df.columns[0]]
-    return df.orderBy(*keys).limit(n)
+    """The first ``n`` rows, ordered by a key, or else by all columns, for
+    a stable answer."""
+    return df.orderBy(*(order_by or df.columns)).limit(n)

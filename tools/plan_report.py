@@ -41,10 +41,10 @@ def summarise(plan: str) -> dict:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     from priceloom.plans import registry
-    from priceloom.plans.tables import from_testdata
+    from priceloom.plans.pipeline import testdata_tables
     from priceloom.session import build_session
     spark = build_session("local[8]", 16)
-    t = from_testdata(spark, sf_dir, materialized=True)
+    t = testdata_tables(spark, sf_dir)
     print(f"# Physical plans ({os.path.basename(sf_dir)}, initial AQE plans over the written clean tables)\n")
     print("Counts per query: shuffle exchanges, broadcast exchanges, sort-merge / broadcast hash joins, "
           "hash / sort aggregates, windows, Python operators, cartesian products, columns read per scan, "
