@@ -1,8 +1,11 @@
 """Summarise the physical plan of every registered query (PLANS.md).
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
-Plans are taken over the written clean tables (as production reports run);
-the counts come from ``explain("formatted")`` of the initial AQE plan.
+Plans are taken over the written clean tables (as production reports run).
+The first table counts the initial AQE plans.  The second runs the queries
+with joins with broadcasts switched off, as for a catalogue and a customer
+table too large for them, and counts the final plans: what adaptive execution
+left of the shuffles, which it reused, and which partitions it split.
 """
 
 from __future__ import annotations
@@ -23,9 +26,19 @@ KINDS = {
     "hash_agg": r"^\(\d+\) HashAggregate",
     "sort_agg": r"^\(\d+\) SortAggregate",
     "windows": r"^\(\d+\) Window",
-    "python": r"^\(\d+\) (MapInPandas|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)",
+    "python": r"^\(\d+\) (MapInPandas|MapInArrow|ArrowEvalPython|BatchEvalPython|FlatMapGroupsInPandas)",
     "cartesian": r"^\(\d+\) (CartesianProduct|BroadcastNestedLoopJoin)",
 }
+FINAL = {
+    "shuffles": r"^\(\d+\) Exchange$",
+    "reused": r"^\(\d+\) ReusedExchange",
+    "smj": r"^\(\d+\) SortMergeJoin",
+    "skew_joins": r"^\(\d+\) SortMergeJoin\(skew=true\)",
+    "split_reads": r"^Arguments: .*skewed",
+    "coalesced_reads": r"^Arguments: .*coalesced",
+    "sorts": r"^\(\d+\) Sort$",
+    "scans": r"^\(\d+\) Scan parquet",
+}
 
 
 def summarise(plan: str) -> dict:
@@ -59,6 +72,35 @@ def main() -> None:
             fn(t).explain("formatted")
         s = summarise(buf.getvalue())
         print(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |")
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    # a partition beyond 256 KB and 1.5 times the median counts as skewed, for tables of this size
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    print("\n# Final plans of the queries with joins, without broadcasts\n")
+    print("Shuffles and reused ones, sort-merge joins and those split for skew, reads of split and of coalesced partitions, "
+          "sorts, scans.  Partitions count as skewed from 256 KB, to show the splits at this scale.\n")
+    print("| query | " + " | ".join(FINAL) + " |")
+    print("| --- | " + " | ".join("---" for _ in FINAL) + " |")
+    for name, fn in registry.catalogue().items():
+        df = fn(t)
+        if "Join" not in df._jdf.queryExecution().optimizedPlan().toString():
+            continue
+        df.toArrow()
+        buf = io.StringIO()
+        with redirect_stdout(buf):
+            df.explain("formatted")
+        lines = [ln.strip() for ln in buf.getvalue().split("== Initial Plan ==")[-1].splitlines()]
+        text = buf.getvalue()
+        final = set(re.findall(r"\((\d+)\)", text[text.find("== Final Plan =="):text.find("== Initial Plan ==")]))
+        keep, on = [], True
+        for ln in lines:
+            head = re.match(r"^\((\d+)\) ", ln)
+            on = head.group(1) in final if head else on
+            if on:
+                keep.append(ln)
+        print(f"| {name} | " + " | ".join(str(sum(1 for ln in keep if re.match(p, ln))) for p in FINAL.values()) + " |")
     spark.stop()
 
 
