@@ -62,24 +62,39 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[slot >> 6] >> (slot & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def _words(text: pa.LargeStringArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The distinct words of all texts (A-Z lower-cased), each word's number
-    in order, and the number of the piece that it lies in."""
+def _blocks(text: pa.LargeStringArray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes of all texts in blocks of about ``size``, and which of them
+    begin a text.  Blocks are cut at texts and, in long texts, where pieces
+    are, so that no phrase is cut; only a longer piece is a longer block."""
     data, bounds = text_bytes(text)
+    first = np.zeros(len(data), bool)
+    first[bounds[bounds < len(data)]] = True
+    at = 0
+    while at < len(data):
+        to = min(len(data), at + size)
+        while to < len(data):
+            ahead = np.flatnonzero(first[to:to + size] | _BREAK[data[to:to + size]])
+            if len(ahead):
+                to += int(ahead[0])
+                break
+            to = min(len(data), to + size)
+        yield data[at:to], first[at:to]
+        at = to
+
+
+def _words(data: np.ndarray, first: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of a block (A-Z lower-cased), each word's number in
+    order, and the number of the piece that it lies in."""
     data = _LOWER[data]
     cuts = _BREAK[data]
     inside = ~(cuts | _SPACE[data])
-    first = np.zeros(len(data) + 1, bool)
-    first[bounds] = True
     new = inside.copy()
-    new[1:] &= ~inside[:-1] | first[1:-1]
+    new[1:] &= ~inside[:-1] | first[1:]
     starts = np.flatnonzero(new)
-    size = np.diff(np.concatenate([np.cumsum(inside)[starts] - 1, [inside.sum()]])) if len(starts) else np.zeros(0, np.int64)
-    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-    flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data[inside])))
+    ends = np.append(np.cumsum(inside)[starts] - 1, inside.sum())  # of the words, without what parts them
+    flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[inside])))
     found = flat.dictionary_encode()
-    piece = np.cumsum(cuts)[starts] + np.searchsorted(bounds, starts, side="right")
-    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), piece
+    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(cuts | first)[starts]
 
 
 def _counted(keys: np.ndarray, at: np.ndarray, number: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,32 +112,31 @@ def _counted(keys: np.ndarray, at: np.ndarray, number: np.ndarray, size: int) ->
 
 
 def phrases_of(text: pa.LargeStringArray, lang: str, words: bool, now: np.ndarray | None, before: np.ndarray | None,
-               longest: int = LONGEST) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(size, phrases, times) of the phrases active by the bitmaps: single
-    words if ``words``, longer ones with both subphrases in ``now`` and not
-    both of them in ``before``."""
-    values, number, piece = _words(text)
-    if words and len(values):
-        yield 1, values, np.bincount(number, minlength=len(values))
-    if now is None or not len(values):
-        return
-    own = batch_words(values)[0]
-    # the last of the phrase's shorter forms, at each place
-    h = mix(own + _begin(lang))[number]
-    for size in range(2, longest + 1):
-        n = len(number) - size + 1
-        if n < 1:
-            return
-        old, h = h, mix(h[:n] * _STEP + own[number[size - 1:]])
-        known = _has(now, old)
-        active = known[:-1] & known[1:] & (piece[:n] == piece[size - 1:])
-        if before is not None:
-            done = _has(before, old)
-            active &= ~(done[:-1] & done[1:])
-        at = np.flatnonzero(active)
-        if len(at):
-            heads, times = _counted(h[at], at, number, size)
-            yield size, pc.binary_join_element_wise(*(values.take(pa.array(number[heads + j])) for j in range(size)), pa.scalar(" ", values.type)), times
+               longest: int = LONGEST, block: int = SCAN_BYTES) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+    """(size, phrases, times), block by block, of the phrases active by the
+    bitmaps: single words if ``words``, longer ones with both subphrases in
+    ``now`` and not both of them in ``before``."""
+    for data, first in _blocks(text, block):
+        values, number, piece = _words(data, first)
+        if words and len(values):
+            yield 1, values, np.bincount(number, minlength=len(values))
+        if now is None or not len(values):
+            continue
+        own = batch_words(values)[0]
+        # of the phrase's shorter form, at each place
+        h = mix(own + _begin(lang))[number]
+        for size in range(2, min(longest, len(number)) + 1):
+            n = len(number) - size + 1
+            old, h = h, mix(h[:n] * _STEP + own[number[size - 1:]])
+            known = _has(now, old)
+            active = known[:-1] & known[1:] & (piece[:n] == piece[size - 1:])
+            if before is not None:
+                done = _has(before, old)
+                active &= ~(done[:-1] & done[1:])
+            at = np.flatnonzero(active)
+            if len(at):
+                heads, times = _counted(h[at], at, number, size)
+                yield size, pc.binary_join_element_wise(*(values.take(pa.array(number[heads + j])) for j in range(size)), pa.scalar(" ", values.type)), times
 
 
 def _scan(words: bool, now, before, longest: int):

@@ -29,6 +29,7 @@ from priceloom.llm.common import documents, text_slices
 
 #: Longer chunks are merged anew each time rather than kept in the table.
 KEPT_CHARS = 100
+_PLACE = (1 << 40) - 1
 # letters that every Unicode version has and that composition leaves alone
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 
@@ -42,7 +43,7 @@ class PairMerger:
             raise ValueError("only plain byte-pair models can be counted by merging")
         vocab, self._end = model["vocab"], model.get("end_of_word_suffix") or ""
         pairs = (tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"])
-        #: (left, right) -> (rank, merged symbol)
+        #: (left, right) -> (rank, merged symbol); no two pairs share a rank
         self._pairs = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
         # how a byte-level vocabulary writes bytes: printable ones as themselves, the others from 256 on
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -67,27 +68,30 @@ class PairMerger:
         pairs = self._pairs.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
+        # an entry is a pair's rank and, among equal ones, its place, as one number
         for at in range(n - 1):
-            found = pairs((symbol[at], symbol[at + 1]))
-            if found:
-                heap.append((found[0], at, symbol[at], symbol[at + 1], found[1]))
+            if found := pairs((symbol[at], symbol[at + 1])):
+                heap.append(found[0] << 40 | at)
         heapify(heap)
         merges = 0
         while heap:
-            _, at, left, right, merged = heappop(heap)
+            entry = heappop(heap)
+            at = entry & _PLACE
             follows = after[at]
-            if symbol[at] != left or follows == n or symbol[follows] != right:
+            found = pairs((symbol[at], symbol[follows])) if follows < n else None
+            if found is None or found[0] != entry >> 40:
                 continue  # one of the two has been merged since
-            symbol[at], symbol[follows] = merged, -1
+            merged = symbol[at] = found[1]
+            symbol[follows] = -1
             merges += 1
             follows = after[at] = after[follows]
             if follows < n:
                 before[follows] = at
                 if found := pairs((merged, symbol[follows])):
-                    heappush(heap, (found[0], at, merged, symbol[follows], found[1]))
+                    heappush(heap, found[0] << 40 | at)
             ahead = before[at]
             if ahead >= 0 and (found := pairs((symbol[ahead], merged))):
-                heappush(heap, (found[0], ahead, symbol[ahead], merged, found[1]))
+                heappush(heap, found[0] << 40 | ahead)
         return n - merges
 
 

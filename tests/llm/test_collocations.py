@@ -82,6 +82,28 @@ def test_a_full_bitmap_only_adds_phrases(monkeypatch):
     assert not set(rest) & set(seen) and {**rest, **seen} == {p: k for p, k in every.items() if " " in p}
 
 
+def test_blocks_of_long_texts_cut_no_phrase():
+    from collections import defaultdict
+    from priceloom.llm import collocations as c
+    full = np.full(1 << (c.BITMAP_BITS - 6), np.uint64(0xFFFFFFFFFFFFFFFF))
+    texts = ["", " ".join(t for _, t in corpus(3, 60) if t), "no break at all " * 400, "", "a.b" * 300, "."]
+    array = pa.array(texts, pa.large_string())
+    for start in (0, 1):  # of a slice, too
+        want = defaultdict(int)
+        for text in texts[start:]:
+            for piece in PIECES.split(lower(text)):
+                w = WORDS.findall(piece)
+                for size in range(1, 6):
+                    for i in range(len(w) - size + 1):
+                        want[" ".join(w[i:i + size])] += 1
+        for block in (1, 50, 1000, 1 << 20):
+            got = defaultdict(int)
+            for _, phrases, times in c.phrases_of(array.slice(start), "en", True, full, None, block=block):
+                for p, k in zip(phrases.to_pylist(), times):
+                    got[p] += int(k)
+            assert got == want
+
+
 def test_equal_hashes_do_not_join_phrases():
     from priceloom.llm.collocations import _counted
     number = np.array([1, 2, 1, 2, 3, 4, 1, 2])
