@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -30,6 +31,11 @@ def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
     guests (segment ``Guest Shoppers``) drop out.  Known lists are semi-joins
     on distinct values -- nothing is collected.  ``None`` disables a filter.
     """
+    for bound, within in ((start, operator.ge), (end, operator.le)):
+        if bound is not None:
+            sales = sales.filter(within(F.col("date"), F.lit(bound).cast("date")))
+            if "year_month" in sales.columns:  # the partition column of the written sales: other months aren't read
+                sales = sales.filter(within(F.col("year_month"), F.lit(str(bound)[:7])))
     s = sales.join(products.select("product_id", "category"), "product_id", "left")
     people = customers.select("customer_id", "customer_segment")
     if segments == KNOWN:
@@ -42,10 +48,6 @@ def filter_sales(sales: DataFrame, products: DataFrame, customers: DataFrame,
         named = s.filter(~guests).join(people, "customer_id", "left").withColumn(
             "customer_segment", F.coalesce(F.col("customer_segment"), F.lit(GUEST_SEGMENT)))
         s = named.unionByName(s.filter(guests).withColumn("customer_segment", F.lit(GUEST_SEGMENT)))
-    if start is not None:
-        s = s.filter(F.col("date") >= F.lit(start).cast("date"))
-    if end is not None:
-        s = s.filter(F.col("date") <= F.lit(end).cast("date"))
     if categories == KNOWN:
         s = s.join(products.select("category").distinct(), "category", "left_semi")
     elif categories is not None:

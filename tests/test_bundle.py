@@ -225,3 +225,19 @@ def test_guests_do_not_meet_the_customer_join(spark):
     lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
     joined = next(i for i, line in enumerate(lines) if "Join LeftOuter" in line and "customer_id" in line)
     assert any("CUST-GUEST" in line and "Filter" in line and "NOT" in line for line in lines[joined + 1:])
+
+
+def test_date_range_reads_its_months_only(bundle):
+    import re
+    from priceloom.operators import dashboard as D
+    t = bundle
+    for bounds in ({"start": "1996-03-05", "end": "1996-05-20"}, {"start": datetime.date(1999, 12, 31)}, {"end": "1995-02-01"}, {}):
+        out = D.filter_sales(t.sales, t.products, t.customers, **bounds, categories=None, regions=None, segments=None)
+        want = t.sales
+        if "start" in bounds:
+            want = want.filter(F.col("date") >= F.lit(str(bounds["start"])).cast("date"))
+        if "end" in bounds:
+            want = want.filter(F.col("date") <= F.lit(str(bounds["end"])).cast("date"))
+        assert sorted(r.transaction_id for r in out.collect()) == sorted(r.transaction_id for r in want.collect())
+        filters = re.findall(r"PartitionFilters: \[(.*?)\]", out._jdf.queryExecution().executedPlan().toString())
+        assert any("year_month" in f for f in filters) == bool(bounds)
