@@ -30,14 +30,14 @@ KINDS = {
     "cartesian": r"^\(\d+\) (CartesianProduct|BroadcastNestedLoopJoin)",
 }
 FINAL = {
-    "shuffles": r"^\(\d+\) Exchange$",
-    "reused": r"^\(\d+\) ReusedExchange",
-    "smj": r"^\(\d+\) SortMergeJoin",
-    "skew_joins": r"^\(\d+\) SortMergeJoin\(skew=true\)",
-    "split_reads": r"^Arguments: .*skewed",
-    "coalesced_reads": r"^Arguments: .*coalesced",
-    "sorts": r"^\(\d+\) Sort$",
-    "scans": r"^\(\d+\) Scan parquet",
+    "shuffles": r"[^a-zA-Z]Exchange [a-zA-Z]",
+    "reused": r"ReusedExchange",
+    "smj": r"SortMergeJoin",
+    "skew_joins": r"SortMergeJoin\(skew=true\)",
+    "split_reads": r"AQEShuffleRead [a-z ]*skewed",
+    "coalesced_reads": r"AQEShuffleRead [a-z ]*coalesced",
+    "sorts": r"[^a-zA-Z]Sort \[",
+    "scans": r"FileScan",
 }
 
 
@@ -88,19 +88,10 @@ def main() -> None:
         if "Join" not in df._jdf.queryExecution().optimizedPlan().toString():
             continue
         df.toArrow()
-        buf = io.StringIO()
-        with redirect_stdout(buf):
-            df.explain("formatted")
-        lines = [ln.strip() for ln in buf.getvalue().split("== Initial Plan ==")[-1].splitlines()]
-        text = buf.getvalue()
-        final = set(re.findall(r"\((\d+)\)", text[text.find("== Final Plan =="):text.find("== Initial Plan ==")]))
-        keep, on = [], True
-        for ln in lines:
-            head = re.match(r"^\((\d+)\) ", ln)
-            on = head.group(1) in final if head else on
-            if on:
-                keep.append(ln)
-        print(f"| {name} | " + " | ".join(str(sum(1 for ln in keep if re.match(p, ln))) for p in FINAL.values()) + " |")
+        # the plan as run, with those of its subqueries
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = "".join(re.findall(r"== Final Plan ==(.*?)== Initial Plan ==", plan, re.S))
+        print(f"| {name} | " + " | ".join(str(len(re.findall(p, final))) for p in FINAL.values()) + " |")
     spark.stop()
 
 
