@@ -46,10 +46,12 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
     # stage: Spark applies a result task's accumulator update once, so a
     # re-executed upstream stage (lost executor) cannot double-count.
     obs = Observation("sales_stage")
-    flagged = cleaning.flagged_sales(raw_sales, products)
+    # The rows go to their month before the columns that follow from others
+    # are computed, so these aren't shuffled.
+    imputed = cleaning.imputed_sales(raw_sales, products)
     if partition_sales:
-        flagged = flagged.hint("rebalance", "year_month")
-    flagged = flagged.observe(obs, *[v.alias(k) for k, v in cleaning.sales_stage_metrics().items()])
+        imputed = imputed.hint("rebalance", "year_month")
+    flagged = cleaning.recompute_sales(imputed).observe(obs, *[v.alias(k) for k, v in cleaning.sales_stage_metrics().items()])
     sales = write(cleaning.finalize_sales(flagged), "sales", "year_month" if partition_sales else None,
                   rebalance=False)
     # Column order as cleaned (a partition column is appended on read).
@@ -57,7 +59,10 @@ def run_pipeline(spark: SparkSession, raw_customers: DataFrame, raw_products: Da
 
     hist_raw = raw_history(sales, products) if callable(raw_history) else raw_history
     hist_raw = write(hist_raw, "_raw_pricing_history")
-    history = write(cleaning.clean_pricing_history(hist_raw), "pricing_history")
+    # Dealt by product, days of a product (its rows are few) lie together in
+    # the written table: the dedup by day and product needs no other shuffle,
+    # and a fit's moments are complete, or nearly, in the task that reads it.
+    history = write(cleaning.clean_pricing_history(hist_raw.repartition("product_id")), "pricing_history")
 
     stage = obs.get  # filled by the sales write above
     sales_stage = spark.createDataFrame(

@@ -32,7 +32,7 @@ def sales_from_csv(t: RetailTables) -> DataFrame:
     def build() -> DataFrame:
         spark = t.sales.sparkSession
         folder = scratch_path(spark, "raw-sales-csv")
-        files.export_csv(t.raw.sales.orderBy(cleaning.INGEST_ORDER).drop(cleaning.INGEST_ORDER), folder)
+        files.export_csv(t.raw.sales.orderBy(cleaning.INGEST_ORDER).drop(*cleaning.SOURCE_COLUMNS), folder)
         products = t.products.withColumn("product_id", F.col("product_id").cast("string"))
         clean = cleaning.clean_sales(files.read_raw_csv(spark, folder, "sales"), products)
         return clean.withColumn("product_id", F.col("product_id").cast(t.sales.schema["product_id"].dataType))

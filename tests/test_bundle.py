@@ -241,3 +241,15 @@ def test_date_range_reads_its_months_only(bundle):
         assert sorted(r.transaction_id for r in out.collect()) == sorted(r.transaction_id for r in want.collect())
         filters = re.findall(r"PartitionFilters: \[(.*?)\]", out._jdf.queryExecution().executedPlan().toString())
         assert any("year_month" in f for f in filters) == bool(bounds)
+
+
+def test_days_of_a_product_are_written_together(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t = pipeline.testdata_tables(spark, SF_SMALL)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    where = t.pricing_history.select("product_id", F.input_file_name().alias("file")).distinct()
+    assert where.select("file").distinct().count() > 1
+    assert where.groupBy("product_id").count().agg(F.max("count")).collect()[0][0] == 1
+    t.close()
