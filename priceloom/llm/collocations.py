@@ -8,6 +8,10 @@ reached the threshold in what has been counted of them so far; it counts for
 one full cycle from then on, wherever that begins, and so over every text
 exactly once.  The steps end when no phrase is active.
 
+A step writes the counts of its own shard.  A phrase that reaches the
+threshold within its cycle has a shard's share of it in one step at least:
+only such phrases' counts are summed over steps.
+
 Which phrases have reached the threshold by a step is kept in a bitmap of
 fixed size, the only thing that scans are given.  It depends on the bitmaps
 alone from which step on a phrase is active: another phrase's bit may begin
@@ -26,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from priceloom.llm.common import batch_words, materialize, mix, scratch_path, text_bytes, text_slices
+from priceloom.session import delete_folder, stages_in
 
 LEAST = 100  # occurrences of a phrase
 LONGEST = 5  # words of a phrase
@@ -41,10 +46,9 @@ FEW_LANGS = 100_000
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+#: 0 for bytes of words, 1 for spaces, 2 for what ends a piece.
+_KIND = bytes(1 if k in (0x20, 0x09) else 2 if _BREAK[k] else 0 for k in range(256))
+_LOWER = bytes(range(256)).lower()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,37 +89,45 @@ def _blocks(text: pa.LargeStringArray, size: int) -> Iterator[tuple[np.ndarray,
 def _words(data: np.ndarray, first: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """The distinct words of a block (A-Z lower-cased), each word's number in
     order, and the number of the piece that it lies in."""
-    data = _LOWER[data]
-    cuts = _BREAK[data]
-    inside = ~(cuts | _SPACE[data])
+    text = data.tobytes().translate(_LOWER)
+    kind = np.frombuffer(text.translate(_KIND), np.uint8)
+    inside = kind == 0
     new = inside.copy()
     new[1:] &= ~inside[:-1] | first[1:]
     starts = np.flatnonzero(new)
-    ends = np.append(np.cumsum(inside)[starts] - 1, inside.sum())  # of the words, without what parts them
-    flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[inside])))
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | first[1:]
+    ends = np.zeros(len(starts) + 1, np.int64)  # of the words, without what parts them
+    np.cumsum(np.flatnonzero(last) + 1 - starts, out=ends[1:])
+    flat = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(np.frombuffer(text, np.uint8)[inside]))
     found = flat.dictionary_encode()
-    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(cuts | first)[starts]
+    cuts = np.searchsorted(starts, np.flatnonzero((kind == 2) | first))  # the words that they come before
+    piece = np.cumsum(np.bincount(cuts, minlength=len(starts) + 1))[:len(starts)]
+    return found.dictionary, found.indices.to_numpy(zero_copy_only=False).astype(np.int64), piece
 
 
 def _counted(keys: np.ndarray, at: np.ndarray, number: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Of phrases of ``size`` words that begin at ``at``: a place of each
     distinct one and how often it occurs.  Equal hashes only bring phrases
     together, their words are compared."""
-    order = np.argsort(keys, kind="stable")
-    at, keys = at[order], keys[order]
-    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(at) else np.zeros(0, np.int64)
-    times = np.diff(np.concatenate([heads, [len(at)]]))
-    head = np.repeat(at[heads], times)
+    found = pa.array(keys).dictionary_encode()
+    group, times = found.indices.to_numpy(zero_copy_only=False), np.zeros(0, np.int64)
+    heads = np.zeros(len(found.dictionary), np.int64)
+    if len(at):
+        times = np.bincount(group)
+        heads[group[::-1]] = at[::-1]  # the first place of each is set last
+    head = heads[group]
     if any((number[head + j] != number[at + j]).any() for j in range(size)):
         rows, heads, times = np.unique(np.stack([number[at + j] for j in range(size)], axis=1), axis=0, return_index=True, return_counts=True)
-    return at[heads], times
+        heads = at[heads]
+    return heads, times
 
 
 def phrases_of(text: pa.LargeStringArray, lang: str, words: bool, now: np.ndarray | None, before: np.ndarray | None,
                longest: int = LONGEST, block: int = SCAN_BYTES) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(size, phrases, times), block by block, of the phrases active by the
-    bitmaps: single words if ``words``, longer ones with both subphrases in
-    ``now`` and not both of them in ``before``."""
+    bitmaps: single words if ``words``, longer ones with all subphrases in
+    ``now`` and not all of them in ``before``."""
     for data, first in _blocks(text, block):
         values, number, piece = _words(data, first)
         if words and len(values):
@@ -123,20 +135,30 @@ def phrases_of(text: pa.LargeStringArray, lang: str, words: bool, now: np.ndarra
         if now is None or not len(values):
             continue
         own = batch_words(values)[0]
-        # of the phrase's shorter form, at each place
+        # of the shorter phrase at each place, where it is known
         h = mix(own + _begin(lang))[number]
+        known = _has(now, h)
+        done = _has(before, h) if before is not None else None
         for size in range(2, min(longest, len(number)) + 1):
             n = len(number) - size + 1
-            old, h = h, mix(h[:n] * _STEP + own[number[size - 1:]])
-            known = _has(now, old)
-            active = known[:-1] & known[1:] & (piece[:n] == piece[size - 1:])
-            if before is not None:
-                done = _has(before, old)
-                active &= ~(done[:-1] & done[1:])
-            at = np.flatnonzero(active)
-            if len(at):
-                heads, times = _counted(h[at], at, number, size)
+            at = np.flatnonzero(known[:-1] & known[1:] & (piece[:n] == piece[size - 1:]))
+            if not len(at):
+                break
+            hashes = mix(h[at] * _STEP + own[number[at + size - 1]])
+            active, keys = at, hashes
+            if done is not None:
+                both = done[at] & done[at + 1]
+                active, keys = at[~both], hashes[~both]
+            if len(active):
+                heads, times = _counted(keys, active, number, size)
                 yield size, pc.binary_join_element_wise(*(values.take(pa.array(number[heads + j])) for j in range(size)), pa.scalar(" ", values.type)), times
+            if size < longest:
+                h[at] = hashes
+                known = np.zeros(n, bool)
+                known[at] = _has(now, hashes)
+                if done is not None:
+                    done = np.zeros(n, bool)
+                    done[at[both]] = _has(before, hashes[both])
 
 
 def _scan(words: bool, now, before, longest: int):
@@ -146,10 +168,9 @@ def _scan(words: bool, now, before, longest: int):
         for part in text_slices(batches, limit=SCAN_BYTES):
             for lang in part["_lang"].unique().to_pylist():
                 text = part["_text"].filter(pc.equal(part["_lang"], lang))
-                for size, phrases, times in phrases_of(text, lang, words, *bits, longest):
-                    rows = len(phrases)
-                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, rows), pa.repeat(pa.scalar(size, pa.int32()), rows),
-                                                      phrases.cast(pa.string()), pa.array(times.astype(np.int64))], ["lang", "size", "phrase", "n"])
+                for _, phrases, times in phrases_of(text, lang, words, *bits, longest):
+                    yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(phrases)), phrases.cast(pa.string()),
+                                                      pa.array(times.astype(np.int64))], ["lang", "phrase", "n"])
     return run
 
 
@@ -178,6 +199,33 @@ def _mark(bits: np.ndarray, reached: DataFrame) -> np.ndarray:
     return out
 
 
+#: Words of a phrase: none holds a space.
+_SIZE = "length(phrase) - length(replace(phrase, ' ', '')) + 1"
+#: A phrase's row and bit in a table of bits, 64 a row and 2**25 in all.
+_ROW = "shiftrightunsigned(xxhash64(lang, phrase), 45)"
+_BIT = "shiftleft(1L, cast(xxhash64(lang, phrase) & 63 as int))"
+
+
+def _often(counts: DataFrame, least: int) -> DataFrame:
+    """The bits of phrases with ``least`` occurrences or more in a step."""
+    return counts.filter(F.col("n") >= least).groupBy(F.expr(_ROW).alias("row")).agg(F.bit_or(F.expr(_BIT)).alias("bits"))
+
+
+def _sums(counts: list[DataFrame], often: list[DataFrame], least: int) -> DataFrame:
+    """(lang, size, phrase, n) of phrases with ``least`` occurrences or more in
+    some steps together.  Such a phrase has its share of them in one step at
+    least, which ``often`` says; other phrases' counts needn't be brought
+    together.  The bits are a row for each 64 at most, however many phrases."""
+    every, marked = counts[0], often[0]
+    for more, marks in zip(counts[1:], often[1:]):
+        every, marked = every.unionByName(more), marked.unionByName(marks)
+    if len(counts) > 1:
+        marked = F.broadcast(marked.groupBy("row").agg(F.bit_or("bits").alias("bits")))
+        every = every.withColumn("row", F.expr(_ROW)).join(marked, "row").filter(f"bits & {_BIT} != 0") \
+            .groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return every.filter(F.col("n") >= least).select("lang", F.expr(_SIZE).alias("size"), "phrase", "n")
+
+
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST, longest: int = LONGEST,
                      shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, n) of all phrases of 1 to ``longest`` words that
@@ -196,33 +244,41 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
 
     empty = np.zeros(1 << (BITMAP_BITS - 6), np.uint64)
     reached: list[np.ndarray] = []  # by the end of each step
-    counts: DataFrame | None = None
-    done: list[DataFrame] = []
+    counts: list[DataFrame] = []  # of each step alone
+    often: list[DataFrame] = []
+    sums: list[DataFrame] = []
     totals, step = None, 0
     while step < shards or not np.array_equal(reached[step - 1], reached[step - 1 - shards] if step > shards else empty):
         now = context.broadcast(reached[step - 1]) if step else None
         before = context.broadcast(reached[step - 1 - shards]) if step > shards else None
         fresh = texts.filter(F.col("shard") == step % shards).select("_lang", "_text") \
-            .mapInArrow(_scan(step < shards, now, before, longest), "lang string, size int, phrase string, n bigint").withColumn("since", F.lit(step))
-        # phrases whose cycle may go on; one begins its cycle at ``since`` or before
-        if counts is not None:
-            fresh = fresh.unionByName(counts.filter(F.col("since") > step - shards))
-        counts = materialize(fresh.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min("since").alias("since")), f"phrases-{step}")
-        done.append(counts.filter((F.col("n") >= least) & (F.col("since") == step - shards + 1)))
-        reached.append(_mark(reached[-1] if reached else empty, counts.filter((F.col("n") >= least) & (F.col("size") < longest)).select("lang", "phrase")))
-        if step > shards:
-            reached[step - 1 - shards] = None  # never looked at again
+            .mapInArrow(_scan(step < shards, now, before, longest), "lang string, phrase string, n bigint")
+        with stages_in(f"{folder}-{step}"):
+            counts.append(materialize(fresh.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrases"))
+        often.append(materialize(_often(counts[step], -(-least // shards)), f"phrases-often-{step}"))
+        # A phrase's cycle is ``shards`` steps in a row: the last ones hold all of it, or what there is so far.
+        sums.append(materialize(_sums(counts[-shards:], often[-shards:], least), f"phrases-reached-{step}"))
+        reached.append(_mark(reached[-1] if reached else empty, sums[step].filter(F.col("size") < longest).select("lang", "phrase")))
         if step == shards - 1:
-            totals = counts.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+            words = counts[0]
+            for more in counts[1:]:
+                words = words.unionByName(more)
+            totals = materialize(words.filter("instr(phrase, ' ') = 0").groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
+        # never looked at again
+        if step > shards:
+            reached[step - 1 - shards] = None
+        if step >= shards - 1:
+            delete_folder(spark, f"{folder}-{step - shards + 1}")
         for b in (now, before):
             if b is not None:
                 b.unpersist()
         step += 1
-    done.append(counts.filter((F.col("n") >= least) & (F.col("since") > step - shards)))
-    found = done[0]
-    for more in done[1:]:
+    found = sums[0]
+    for more in sums[1:]:
         found = found.unionByName(more)
-    return materialize(found.drop("since"), "frequent-phrases"), materialize(totals, "phrase-totals")
+    # sums from before or after the end of a phrase's cycle are parts of the one at its end
+    found = found.groupBy("lang", "size", "phrase").agg(F.max("n").alias("n"))
+    return materialize(found, "frequent-phrases"), totals
 
 
 #: Products may pass 64 bits: decimals of 38 digits, and a division that cuts off.

@@ -111,6 +111,39 @@ def test_equal_hashes_do_not_join_phrases():
     assert sorted(zip(at.tolist(), times.tolist())) == [(0, 3), (4, 1)]
 
 
+def test_a_step_writes_its_own_counts_only(spark, monkeypatch):
+    """Counts of earlier steps aren't written again, and go when no step needs them."""
+    import os
+    from priceloom.llm import collocations as c
+    docs = spark.createDataFrame([("en", "one two three four")] * 30, "lang string, text string").repartition(3)
+    keep, written, there, write = getattr(c, "delete_folder", None), [], [], c.materialize
+
+    def seen(df, name):
+        out = write(df, name)
+        if name.startswith("phrases") and "n" in out.columns and "size" not in out.columns:
+            written.append({row.phrase: row.n for row in out.collect()})
+        return out
+
+    def gone(session, folder):
+        assert keep(session, folder) and not os.path.exists(folder)
+        there.append(folder)
+    monkeypatch.setattr(c, "materialize", seen)
+    monkeypatch.setattr(c, "delete_folder", gone, raising=False)
+    rated = c.frequent_phrases(docs, least=5, shards=3)[0]
+    phrases = {row.phrase: row.n for row in rated.collect()}
+    assert phrases["one two three four"] == phrases["two"] == 30 and len(phrases) == 10
+    assert all(sum(step.get(p, 0) for step in written) == n for p, n in phrases.items())
+    assert len(there) == len(written) - 2
+
+
+@pytest.mark.parametrize("spread, n", [([34, 33, 33], 100), ([98, 1, 1], 100), ([0, 0, 100], 100), ([33, 33, 33], None), ([34, 34, 31], None)])
+def test_counts_of_steps_that_make_up_the_threshold(spark, spread, n):
+    from priceloom.llm import collocations as c
+    steps = [spark.createDataFrame([("en", "a b", k), ("en", "x", 50)], "lang string, phrase string, n bigint").filter("n > 0") for k in spread]
+    rows = {(row.phrase, row.size): row.n for row in c._sums(steps, [c._often(s, 34) for s in steps], 100).collect()}
+    assert rows == {("x", 1): 150, **({("a b", 2): n} if n else {})}
+
+
 def test_empty_tables_and_rare_words(spark):
     from priceloom.llm.collocations import collocations
     docs = spark.createDataFrame([("en", "one two three"), (None, None)], "lang string, text string")
