@@ -30,12 +30,12 @@ def sales_from_csv(t: RetailTables) -> DataFrame:
     """The raw sales exported as CSV in ingest order, read with
     the raw schema (all text) and cleaned."""
     def build() -> DataFrame:
-        spark = t.sales.sparkSession
+        spark = t.spark
         folder = scratch_path(spark, "raw-sales-csv")
         files.export_csv(t.raw.sales.orderBy(cleaning.INGEST_ORDER).drop(*cleaning.SOURCE_COLUMNS), folder)
         products = t.products.withColumn("product_id", F.col("product_id").cast("string"))
         clean = cleaning.clean_sales(files.read_raw_csv(spark, folder, "sales"), products)
-        return clean.withColumn("product_id", F.col("product_id").cast(t.sales.schema["product_id"].dataType))
+        return clean.withColumn("product_id", F.col("product_id").cast(t.raw.sales.schema["product_id"].dataType))
     return t.stage("sales_from_csv", build)
 
 
@@ -43,7 +43,7 @@ def saved_tables(t: RetailTables) -> DataFrame:
     """The clean tables saved to the catalogue, and free SQL over them.
     The entries go again; the files go with the bundle's folder."""
     def build() -> DataFrame:
-        spark = t.sales.sparkSession
+        spark = t.spark
         prefix = f"retail_{uuid.uuid4().hex[:8]}_"
         files.write_tables(t, prefix=prefix, location=scratch_path(spark, "saved"))
         try:
@@ -57,7 +57,7 @@ def saved_tables(t: RetailTables) -> DataFrame:
 def exported(t: RetailTables, key: str, report: DataFrame) -> DataFrame:
     """A report exported as CSV with a header, and read back by its types."""
     def build() -> DataFrame:
-        spark = t.sales.sparkSession
+        spark = t.spark
         folder = scratch_path(spark, f"{key}-csv")
         files.export_csv(report, folder)
         return spark.read.schema(report.schema).option("header", True).csv(folder)

@@ -253,3 +253,18 @@ def test_days_of_a_product_are_written_together(spark):
     assert where.select("file").distinct().count() > 1
     assert where.groupBy("product_id").count().agg(F.max("count")).collect()[0][0] == 1
     t.close()
+
+
+def test_a_query_waits_for_the_steps_it_reads(spark):
+    """The CSV round trip reads the raw sales and the catalogue, not the clean sales, and the gaps no audit."""
+    t = pipeline.testdata_job(spark, SF_SMALL)
+    try:
+        got = sorted(map(tuple, registry.run_named_query(t, "sales_from_csv").collect()))
+        assert {f for f in os.listdir(t.folder) if f in ("customers", "products", "sales", "pricing_history", "_audit")} == {"products"}
+        assert registry.run_named_query(t, "gap_sorted").count() > 0
+        assert not {"customers", "_audit"} & set(os.listdir(t.folder)) and {"sales", "pricing_history"} <= set(os.listdir(t.folder))
+        assert got == sorted(map(tuple, t.sales.collect()))
+        assert t.audit.count() > 0 and "_audit" in os.listdir(t.folder)
+    finally:
+        t.close()
+    assert not os.path.exists(t.job.base)
