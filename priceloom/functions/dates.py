@@ -11,6 +11,7 @@ from priceloom.functions.numerics import ColumnOrName, col
 # months and days may have one digit, and an ISO date a time behind it.
 ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?\s*$"
 US_DATE = "M/d/yyyy"
+DAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
 def parse_iso_date(c: ColumnOrName) -> Column:
@@ -30,9 +31,14 @@ def parse_mixed_date(c: ColumnOrName, extra_formats: tuple[str, ...] = ()) -> Co
 
 
 def year_month(c: ColumnOrName) -> Column:
-    return F.date_format(col(c), "yyyy-MM")
+    """``2024-03``, from the numbers for years of four digits: a formatter
+    takes the date to a timestamp first."""
+    d, month = col(c), F.month(col(c))
+    text = F.concat(F.year(d).cast("string"), F.when(month < 10, F.lit("-0")).otherwise(F.lit("-")), month.cast("string"))
+    return F.when(F.year(d).between(1000, 9999), text).otherwise(F.date_format(d, "yyyy-MM"))
 
 
 def day_name(c: ColumnOrName) -> Column:
     """Full English weekday name (``Saturday``); ``dayname`` gives ``Sat``."""
-    return F.date_format(col(c), "EEEE")
+    # guarded: under ANSI mode a missing index reads as the last element
+    return F.when(col(c).isNotNull(), F.element_at(F.array(*[F.lit(x) for x in DAYS]), F.dayofweek(col(c))))

@@ -82,7 +82,11 @@ class CleaningJob:
         # Dealt by product, days of a product (its rows are few) lie together in
         # the written table: the dedup by day and product needs no other shuffle,
         # and a fit's moments are complete, or nearly, in the task that reads it.
-        return self._write(cleaning.clean_pricing_history(self.raw_history.repartition("product_id")), "pricing_history")
+        # A derived raw history is dealt so already, and isn't written in between.
+        raw = self._raw_history()
+        if not callable(self.history_source):
+            raw = raw.repartition("product_id")
+        return self._write(cleaning.clean_pricing_history(raw), "pricing_history")
 
     @cached_property
     def audit(self) -> DataFrame:

@@ -262,9 +262,12 @@ def test_a_query_waits_for_the_steps_it_reads(spark):
         got = sorted(map(tuple, registry.run_named_query(t, "sales_from_csv").collect()))
         assert {f for f in os.listdir(t.folder) if f in ("customers", "products", "sales", "pricing_history", "_audit")} == {"products"}
         assert registry.run_named_query(t, "gap_sorted").count() > 0
-        assert not {"customers", "_audit"} & set(os.listdir(t.folder)) and {"sales", "pricing_history"} <= set(os.listdir(t.folder))
+        assert not {"customers", "_audit", "_raw_pricing_history"} & set(os.listdir(t.folder))
+        assert {"sales", "pricing_history"} <= set(os.listdir(t.folder))
         assert got == sorted(map(tuple, t.sales.collect()))
-        assert t.audit.count() > 0 and "_audit" in os.listdir(t.folder)
+        assert t.audit.count() > 0 and {"_audit", "_raw_pricing_history"} <= set(os.listdir(t.folder))
+        counts = {r.metric: r.value for r in t.audit.filter("table = 'pricing_history'").collect()}
+        assert counts == {"initial_rows": t.raw_history.count(), "final_rows": t.pricing_history.count()}
     finally:
         t.close()
     assert not os.path.exists(t.job.base)
