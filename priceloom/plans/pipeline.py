@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from priceloom.operators import cleaning, quality
 from priceloom.plans.tables import HistorySource, RetailTables, read_clean
-from priceloom.session import scratch_path
+from priceloom.session import freed_shuffles, scratch_path
 from priceloom.sources import files, testdata
 
 
@@ -39,7 +39,8 @@ class CleaningJob:
         w = df.write.mode("overwrite")
         if partition:
             w = w.partitionBy(partition)
-        w.parquet(f"{self.base}/{name}")
+        with freed_shuffles(self.spark):
+            w.parquet(f"{self.base}/{name}")
         return self.spark.read.parquet(f"{self.base}/{name}")
 
     @cached_property

@@ -15,8 +15,8 @@ from priceloom.functions.numerics import r
 from priceloom.operators import cleaning
 from priceloom.operators import elasticity as el
 from priceloom.plans.tables import RetailTables
-from priceloom.session import materialize, scratch_path
-from priceloom.sources import files
+from priceloom.session import materialize, scratch_path, setting
+from priceloom.sources import files, testdata
 
 SAVED_SQL = """
 SELECT s.region, p.category, COUNT(*) AS orders, CAST(SUM(s.quantity) AS BIGINT) AS units,
@@ -26,17 +26,31 @@ GROUP BY s.region, p.category
 """
 
 
+# A task's share of the compressed files, by which they are packed: its rows are
+# sorted for the dedup, about ten times as large in memory.
+CSV_TASK_BYTES = "32m"
+
+
+def _in_ingest_order(raw: testdata.RawTables) -> DataFrame:
+    """The raw sales sorted by ingest order; where they are a view of rows,
+    these are sorted, by the columns that the order consists of."""
+    if raw.sales_rows is None:
+        return raw.sales.orderBy(cleaning.INGEST_ORDER)
+    return testdata.sales_view(raw.sales_rows.orderBy(*testdata.LINEITEM_ORDER))
+
+
 def sales_from_csv(t: RetailTables) -> DataFrame:
     """The raw sales exported as CSV in ingest order, read with
     the raw schema (all text) and cleaned."""
     def build() -> DataFrame:
         spark = t.spark
         folder = scratch_path(spark, "raw-sales-csv")
-        files.export_csv(t.raw.sales.orderBy(cleaning.INGEST_ORDER).drop(*cleaning.SOURCE_COLUMNS), folder)
+        files.export_csv(_in_ingest_order(t.raw).drop(*cleaning.SOURCE_COLUMNS), folder, compression="gzip")
         products = t.products.withColumn("product_id", F.col("product_id").cast("string"))
-        clean = cleaning.clean_sales(files.read_raw_csv(spark, folder, "sales"), products)
+        clean = cleaning.clean_sales(files.read_raw_csv(spark, folder, "sales"), products, distinct_order=True)
         return clean.withColumn("product_id", F.col("product_id").cast(t.raw.sales.schema["product_id"].dataType))
-    return t.stage("sales_from_csv", build)
+    with setting(t.spark, "spark.sql.files.maxPartitionBytes", CSV_TASK_BYTES):
+        return t.stage("sales_from_csv", build)
 
 
 def saved_tables(t: RetailTables) -> DataFrame:

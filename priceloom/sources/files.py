@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from priceloom.operators.cleaning import INGEST_ORDER
+from priceloom.session import freed_shuffles
 
 _S, _D = T.StringType(), T.DoubleType()
 
@@ -88,9 +89,12 @@ def write_audit(audit: DataFrame, path: str) -> None:
     audit.coalesce(1).write.mode("overwrite").json(path)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """A report as CSV with a header row."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """A report as CSV with a header row; of a compressed one each file
+    is read by one task."""
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("overwrite").option("header", True).option("compression", compression) \
+            .option("zlib.compress.level", "BEST_SPEED").csv(path)
 
 
 def preview(df: DataFrame, n: int = 200, order_by: list[str] | None = None) -> DataFrame:
